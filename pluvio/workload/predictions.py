@@ -31,6 +31,10 @@ SELECT raw.id, raw.timestamp_utc + to_minutes(CAST(b.k AS INTEGER)) AS timestamp
 ) + f"""       'modelo_' || CAST(b.k % 5 AS VARCHAR) AS modelo_usado
 FROM ({mapping.raw_observation_sql(mapping.EVENT_BASE)}) AS raw JOIN ({mapping.EVENT_BASE}) AS b ON raw.id = b.id)"""
 
+COMPARED_CTE = CTE + """, cmp AS (SELECT CASE WHEN precipitacao_mm IS NULL OR precipitacao_mm = 0 THEN 'sem_chuva'
+  WHEN precipitacao_mm >= 0.1 AND precipitacao_mm <= 2.5 THEN 'leve' WHEN precipitacao_mm >= 2.6 AND precipitacao_mm <= 10 THEN 'moderada'
+  WHEN precipitacao_mm > 10 THEN 'forte' ELSE 'sem_chuva' END AS real, intensidade_predita AS predita FROM pred)"""
+
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     raw = mapping.raw_observations(spark, folder)

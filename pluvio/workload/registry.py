@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pluvio.workload import view_queries
+from pluvio.workload import ingest_queries, model_queries, profile_queries, view_queries
 from pluvio.workload.common import Query, plain
 
 QUERIES: dict[str, Query] = {
     **view_queries.QUERIES,
+    **profile_queries.QUERIES,
+    **ingest_queries.QUERIES,
+    **model_queries.QUERIES,
 }
 
 
