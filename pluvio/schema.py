@@ -206,17 +206,34 @@ MONTH_PARTITION = "mes_ref"
 STATION_PARTITION, STATION_GROUPS = "grupo", 8
 
 
-def _ddl(schema: str) -> T.StructType:
-    return T.StructType.fromDDL(schema)
+_PLAIN_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _type(kind: str) -> T.DataType:
+    if kind.startswith("decimal"):
+        precision, scale = kind[len("decimal(") : -1].split(",")
+        return T.DecimalType(int(precision), int(scale))
+    return _PLAIN_TYPES[kind]
+
+
+def _table(columns: str) -> T.StructType:
+    """A schema from ``name type`` pairs; unlike DDL parsing it needs no session."""
+    pairs = [column.split() for column in columns.split(", ")]
+    return T.StructType([T.StructField(name, _type(kind)) for name, kind in pairs])
 
 
-STATIONS = _ddl(
+STATIONS = _table(
     "codigo_wmo string, regiao string, uf string, nome string, "
     "latitude decimal(10,8), longitude decimal(11,8), altitude decimal(8,2), "
     "data_fundacao date, created_at timestamp_ntz, updated_at timestamp_ntz"
 )
 
-OBSERVATIONS = _ddl(
+OBSERVATIONS = _table(
     "id bigint, codigo_wmo string, data date, hora_utc string, timestamp_utc timestamp_ntz, "
     + ", ".join(f"{name} {kind}" for name, kind in MEASURES.items())
     + ", intensidade_chuva string, created_at timestamp_ntz"
@@ -225,7 +242,7 @@ OBSERVATIONS = _ddl(
 STORED_STATIONS = T.StructType([*STATIONS.fields, T.StructField(STATION_PARTITION, T.IntegerType())])
 STORED_OBSERVATIONS = T.StructType([*OBSERVATIONS.fields, T.StructField(MONTH_PARTITION, T.DateType())])
 
-PREDICTIONS = _ddl(
+PREDICTIONS = _table(
     "id bigint, timestamp_utc timestamp_ntz, codigo_wmo string, estacao_nome string, "
     "precipitacao_mm decimal(8,2), pressao_estacao_mb decimal(8,2), temperatura_ar_c decimal(5,2), "
     "umidade_rel_horaria_pct decimal(5,2), vento_velocidade_ms decimal(5,2), "
@@ -235,10 +252,21 @@ PREDICTIONS = _ddl(
 )
 
 # One landing document: the telemetry answer of one device for one read.
-TELEMETRY_DOCUMENTS = _ddl(
-    "device_id string, seq bigint, "
-    "telemetry map<string, array<struct<ts: bigint, value: string>>>"
+TELEMETRY_DOCUMENTS = T.StructType(
+    [
+        T.StructField("device_id", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField(
+            "telemetry",
+            T.MapType(
+                T.StringType(),
+                T.ArrayType(
+                    T.StructType([T.StructField("ts", T.LongType()), T.StructField("value", T.StringType())])
+                ),
+            ),
+        ),
+    ]
 )
 
 # Device list; attributes arrive as an object or as a list of key/value pairs.
-DEVICES = _ddl("device_id string, name string, type string, label string, attributes string")
+DEVICES = _table("device_id string, name string, type string, label string, attributes string")
