@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio import schema as S
-from pluvio.functions.numeric import half_up_ratio, mean, or_zero
-from pluvio.operators.quantiles import quantiles, value_counts
+from pluvio.functions.numeric import half_up_ratio, or_zero
+from pluvio.operators.quantiles import Quantile, ranked, value_counts
 
-QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+QUARTILES = [Quantile("p25", 0.25), Quantile("p50", 0.5), Quantile("p75", 0.75)]
+QUARTILE_NAMES = [q.name for q in QUARTILES]
+
+
+def _over_measure(value: Column) -> Column:
+    """The one value of a measure that is not NULL, on each of its rows."""
+    return F.max(value).over(Window.partitionBy("variavel"))
 
 
 def missing_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -52,55 +58,33 @@ def station_coverage(observations: DataFrame, stations: DataFrame) -> DataFrame:
     return covered.join(stations.select("codigo_wmo", "nome", "uf"), "codigo_wmo")
 
 
+def _distribution(df: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Counts, moments, extremes and quartiles per measure, in one pass."""
+    n, value = F.col("_n"), F.col("valor").cast("double")
+    total, count = F.sum(F.col("valor") * F.col("n")).cast("double"), F.max("_total")
+    squares = F.sum(value * value * n) - total * total / F.nullif(count, F.lit(0))
+    rows = ranked(value_counts(df, measures))
+    return rows.groupBy("variavel").agg(
+        F.max("_total").alias("contagem"),
+        F.sum(F.col("n") - n).alias("nulos"),
+        F.try_divide(total, count).alias("media"),
+        F.sqrt(F.try_divide(F.greatest(squares, F.lit(0.0)), count - 1)).alias("desvio"),
+        F.min("valor").cast("double").alias("minimo"),
+        *[quantile.result() for quantile in QUARTILES],
+        F.max("valor").cast("double").alias("maximo"),
+    )
+
+
 def describe(df: DataFrame, measures: Sequence[str] = tuple(S.DESCRIBED)) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles, maximum per measure."""
-    counts = value_counts(df, measures)
-    weight, value = F.col("n"), F.col("valor")
-    # Deviations are taken from the exact mean, which keeps the sum of squares
-    # small and free of cancellation.
-    sums = counts.groupBy("variavel").agg(
-        F.sum(weight).alias("contagem"),
-        (F.sum(value * weight).cast("double") / F.sum(weight)).alias("media"),
-        F.min(value).cast("double").alias("minimo"),
-        F.max(value).cast("double").alias("maximo"),
-    )
-    gap = F.col("valor").cast("double") - F.col("media")
-    # One row per measure: the list of measures bounds the size.
-    spread = (
-        counts.join(F.broadcast(sums.select("variavel", "media", "contagem")), "variavel")
-        .groupBy("variavel")
-        .agg(
-            F.sqrt(F.try_divide(F.sum(gap * gap * F.col("n")), F.max("contagem") - 1)).alias("desvio")
-        )
-    )
-    return (
-        sums.join(spread, "variavel")
-        .join(quantiles(counts, QUARTILES), "variavel")
-        .select("variavel", "contagem", "media", "desvio", "minimo", *QUARTILES, "maximo")
-    )
+    return _distribution(df, measures).drop("nulos")
 
 
 def precipitation_summary(observations: DataFrame) -> DataFrame:
     """One row: mean, median, extremes and deviation of rain, and its gaps."""
-    rain = F.col("precipitacao_mm")
-    plain = observations.agg(
-        mean(rain).alias("media"),
-        F.max(rain).cast("double").alias("maximo"),
-        F.min(rain).cast("double").alias("minimo"),
-        F.stddev_samp(rain.cast("double")).alias("desvio"),
-        F.count_if(rain.isNull()).alias("nulos"),
-        F.count("*").alias("linhas"),
-    )
-    middle = quantiles(value_counts(observations, ["precipitacao_mm"]), {"mediana": 0.5})
-    # Both sides are a single row.
-    return plain.join(F.broadcast(middle.select("mediana")), F.lit(True), "left").select(
-        "media",
-        "mediana",
-        "maximo",
-        "minimo",
-        "desvio",
-        "nulos",
-        F.try_divide(F.col("nulos").cast("double") * 100, F.col("linhas")).alias("nulos_pct"),
+    share = F.try_divide(F.col("nulos").cast("double") * 100, F.col("contagem") + F.col("nulos"))
+    return _distribution(observations, ["precipitacao_mm"]).select(
+        "media", F.col("p50").alias("mediana"), "maximo", "minimo", "desvio", "nulos", share.alias("nulos_pct")
     )
 
 
@@ -111,49 +95,49 @@ def histogram(df: DataFrame, measures: Sequence[str], bins: int = 50) -> DataFra
     computed in whole hundredths, so an edge value never slips. A measure with
     a single value lies in the middle of a bin range one unit wide.
     """
-    counts = value_counts(df, measures)
-    limits = counts.groupBy("variavel").agg(
-        (F.min("valor") * 100).cast("bigint").alias("_lo"),
-        (F.max("valor") * 100).cast("bigint").alias("_hi"),
-    )
-    flat = F.col("_lo") == F.col("_hi")
-    limits = limits.select(
-        "variavel",
-        F.when(flat, F.col("_lo") - 50).otherwise(F.col("_lo")).alias("_lo"),
-        F.when(flat, F.col("_hi") + 50).otherwise(F.col("_hi")).alias("_hi"),
-    )
+    whole = Window.partitionBy("variavel")
+    low = (F.min("valor").over(whole) * 100).cast("bigint")
+    high = (F.max("valor").over(whole) * 100).cast("bigint")
+    spare = F.when(F.col("_hi") == F.col("_lo"), 50).otherwise(0)
     width = F.col("_hi") - F.col("_lo")
+    rows = (
+        value_counts(df, measures)
+        .withColumns({"_lo": low, "_hi": high})
+        .where(F.col("valor").isNotNull())
+        .withColumns({"_lo": F.col("_lo") - spare, "_hi": F.col("_hi") + spare})
+    )
     at = (F.col("valor") * 100).cast("bigint") - F.col("_lo")
     place = F.least(F.call_function("div", at * bins, width), F.lit(bins - 1).cast("bigint"))
-    # One row per measure: the list of measures bounds the size.
-    filled = (
-        counts.join(F.broadcast(limits), "variavel")
-        .groupBy("variavel", place.alias("faixa"))
-        .agg(F.sum("n").alias("contagem"))
+    filled = rows.groupBy("variavel", "_lo", "_hi", place.alias("faixa")).agg(F.sum("n").alias("n"))
+    # At most ``bins`` entries per measure meet here.
+    per_measure = filled.groupBy("variavel", "_lo", "_hi").agg(
+        F.map_from_entries(F.collect_list(F.struct("faixa", "n"))).alias("_filled")
+    )
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))
+
+    def edge(index: Column) -> Column:
+        return (F.col("_lo") * bins + index * width).cast("double") / (100 * bins)
+
+    return per_measure.withColumn("faixa", F.explode(every)).select(
+        "variavel",
+        "faixa",
+        edge(F.col("faixa")).alias("de"),
+        edge(F.col("faixa") + 1).alias("ate"),
+        or_zero(F.try_element_at("_filled", F.col("faixa"))).alias("contagem"),
     )
-    edge = lambda i: (F.col("_lo") * bins + i * width).cast("double") / (100 * bins)
-    every = limits.withColumn("faixa", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))))
-    return every.select(
-        "variavel", "faixa", edge(F.col("faixa")).alias("de"), edge(F.col("faixa") + 1).alias("ate")
-    ).join(filled, ["variavel", "faixa"], "left").fillna(0, subset=["contagem"])
 
 
 def box_plot(df: DataFrame, measures: Sequence[str] = ("precipitacao_mm",)) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges, and outlier counts."""
-    counts = value_counts(df, measures)
-    boxes = quantiles(counts, QUARTILES)
+    rows = ranked(value_counts(df, measures))
+    rows = rows.withColumns({q.name: q.result(_over_measure) for q in QUARTILES}).where(F.col("valor").isNotNull())
     reach = (F.col("p75") - F.col("p25")) * 1.5
     value = F.col("valor").cast("double")
     inside = value.between(F.col("p25") - reach, F.col("p75") + reach)
-    # One row per measure: the list of measures bounds the size.
-    return (
-        counts.join(F.broadcast(boxes), "variavel")
-        .groupBy("variavel", *QUARTILES)
-        .agg(
-            F.min(F.when(inside, value)).alias("haste_inferior"),
-            F.max(F.when(inside, value)).alias("haste_superior"),
-            F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("atipicos"),
-        )
+    return rows.groupBy("variavel", *QUARTILE_NAMES).agg(
+        F.min(F.when(inside, value)).alias("haste_inferior"),
+        F.max(F.when(inside, value)).alias("haste_superior"),
+        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("atipicos"),
     )
 
 

@@ -1,81 +1,91 @@
-"""Exact quantiles without gathering a group's values.
-
-Values are first counted per group, which is combined before the shuffle.
-Quantile positions are then located in two steps: a running count over whole
-numbers finds the unit interval a position falls into, and a running count
-inside that interval (at most a hundred two-decimal values) finds the value.
+"""Exact distributions of two-decimal measures in one pass over the rows.
+
+Rows are first counted per group and value, which is combined before the
+shuffle, so a value or a group that holds most of the rows costs no more than
+any other. Everything else works on those counts: a running count in value
+order tells which value holds a position. What meets in one task is the
+distinct values of one measure in one group, never its rows; the column type
+bounds them (200,000 for ``decimal(5,2)``), and the window streams and spills.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VALUE_TYPE = "decimal(18,2)"
 
 
-def value_counts(df: DataFrame, measures: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
-    """How often each value of each measure occurs: groups, variavel, valor, n."""
+def value_counts(
+    df: DataFrame, measures: Sequence[str], groups: Sequence[str] = (), overall: str | None = None
+) -> DataFrame:
+    """How often each value of each measure occurs: groups, variavel, valor, n.
+
+    A NULL ``valor`` counts the rows without a value, so a group keeps its
+    place. ``overall`` names a flag column; rows where it is true count all
+    groups taken together.
+    """
     typed = df.select(*groups, *[F.col(m).cast(VALUE_TYPE).alias(m) for m in measures])
-    long = typed.unpivot(list(groups), list(measures), "variavel", "valor")
-    return (
-        long.where(F.col("valor").isNotNull())
+    counts = (
+        typed.unpivot(list(groups), list(measures), "variavel", "valor")
         .groupBy(*groups, "variavel", "valor")
         .agg(F.count("*").alias("n"))
     )
+    if overall is None:
+        return counts
+    types = dict(counts.dtypes)
+    own = F.struct(F.lit(False).alias(overall), *groups)
+    every = F.struct(F.lit(True).alias(overall), *[F.lit(None).cast(types[g]).alias(g) for g in groups])
+    scoped = counts.select(F.explode(F.array(own, every)).alias("_scope"), "variavel", "valor", "n")
+    keys = [F.col(f"_scope.{g}").alias(g) for g in (overall, *groups)]
+    return scoped.groupBy(*keys, "variavel", "valor").agg(F.sum("n").alias("n"))
+
+
+def ranked(counts: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """Add ``_n``, rows with a value, ``_until``, their running sum, and ``_total``."""
+    whole = Window.partitionBy(*groups, "variavel")
+    up_to = whole.orderBy("valor").rowsBetween(Window.unboundedPreceding, 0)
+    rows = F.when(F.col("valor").isNotNull(), F.col("n")).otherwise(0)
+    return counts.withColumn("_n", rows).withColumns(
+        {"_until": F.sum("_n").over(up_to), "_total": F.sum("_n").over(whole)}
+    )
 
 
-def quantiles(counts: DataFrame, probabilities: dict[str, float], groups: Sequence[str] = ()) -> DataFrame:
-    """Linear-interpolated quantiles of ``value_counts`` output.
+class Quantile:
+    """A linearly interpolated quantile over ``ranked`` counts."""
 
-    ``probabilities`` maps output column to probability. One row per group and
-    measure; the columns are doubles.
-    """
-    keys = [*groups, "variavel"]
-    unit = F.floor("valor").cast("bigint")
-    up_to = Window.partitionBy(*keys).orderBy("_unit").rowsBetween(Window.unboundedPreceding, 0)
-    units = (
-        counts.groupBy(*keys, unit.alias("_unit"))
-        .agg(F.sum("n").alias("_n"))
-        .withColumn("_until", F.sum("_n").over(up_to))
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
-    )
+    def __init__(self, name: str, probability: float) -> None:
+        self.name, self.probability = name, probability
 
-    position = {name: F.lit(p) * (F.col("_total") - 1) for name, p in probabilities.items()}
-    wanted = []
-    for name, where in position.items():
-        wanted.append(F.struct(F.lit(name).alias("name"), F.lit("lo").alias("side"), F.floor(where).alias("rank")))
-        wanted.append(F.struct(F.lit(name).alias("name"), F.lit("hi").alias("side"), F.ceil(where).alias("rank")))
-    first = F.col("_until") - F.col("_n")
-    hits = F.filter(F.array(*wanted), lambda w: (w["rank"] >= first) & (w["rank"] < F.col("_until")))
-    targets = units.select(
-        *keys, "_unit", "_total", first.alias("_first"), F.explode(hits).alias("_want")
-    )
+    def _at(self, rank: Column) -> Column:
+        """The value in hundredths on the row that holds a zero-based rank."""
+        holds = (rank >= F.col("_until") - F.col("_n")) & (rank < F.col("_until"))
+        return F.when(holds, (F.col("valor") * 100).cast("double"))
 
-    inside = Window.partitionBy(*keys, "_want").orderBy("valor").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        counts.withColumn("_unit", unit)
-        .join(targets, [*keys, "_unit"])
-        .withColumn("_seen", F.col("_first") + F.sum("n").over(inside))
-        .where((F.col("_seen") > F.col("_want.rank")) & (F.col("_seen") - F.col("n") <= F.col("_want.rank")))
-    )
+    def result(self, gather: Callable[[Column], Column] = F.max) -> Column:
+        """The quantile; ``gather`` takes the one value that is not NULL."""
+        position = F.lit(self.probability) * (F.col("_total") - 1)
+        low, high = gather(self._at(F.floor(position))), gather(self._at(F.ceil(position)))
+        place = F.lit(self.probability) * (gather(F.col("_total")) - 1)
+        return ((low + (high - low) * (place - F.floor(place))) / 100).alias(self.name)
+
+
+def quantiles_of(counts: DataFrame, probabilities: dict[str, float], groups: Sequence[str] = ()) -> DataFrame:
+    """One row per group and measure with the named quantiles as doubles."""
+    wanted = [Quantile(name, p).result() for name, p in probabilities.items()]
+    return ranked(counts, groups).groupBy(*groups, "variavel").agg(*wanted)
 
-    def side(name: str, which: str):
-        hit = (F.col("_want.name") == name) & (F.col("_want.side") == which)
-        return F.max(F.when(hit, F.col("valor") * 100)).cast("double")
 
-    columns = []
-    for name, p in probabilities.items():
-        where = F.lit(p) * (F.max("_total") - 1)
-        low, high = side(name, "lo"), side(name, "hi")
-        columns.append(((low + (high - low) * (where - F.floor(where))) / 100).alias(name))
-    return found.groupBy(*keys).agg(*columns)
+def quantiles(
+    df: DataFrame, measures: Sequence[str], probabilities: dict[str, float], groups: Sequence[str] = ()
+) -> DataFrame:
+    return quantiles_of(value_counts(df, measures, groups), probabilities, groups)
 
 
 def medians(df: DataFrame, measures: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
     """Exact medians, one column per measure and one row per group."""
-    per_measure = quantiles(value_counts(df, measures, groups), {"mediana": 0.5}, groups)
+    per_measure = quantiles(df, measures, {"mediana": 0.5}, groups)
     columns = [F.max(F.when(F.col("variavel") == m, F.col("mediana"))).alias(m) for m in measures]
     return per_measure.groupBy(*groups).agg(*columns)

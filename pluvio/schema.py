@@ -135,6 +135,9 @@ TELEMETRY_KEYS = {
     "radiacao_kjm2": "radiacao_global_kjm2",
 }
 
+# Station attributes a device carries.
+ATTRIBUTE_KEYS = ["codigo_wmo", "nome", "latitude", "longitude", "altitude", "estado", "tipo", "regiao"]
+
 # Telemetry read window: days back, and points kept per device and key.
 TELEMETRY_DAYS = 730
 TELEMETRY_POINT_LIMIT = 100_000

@@ -12,10 +12,14 @@ from pluvio.operators.filters import Moment, moment
 def land_records(records: DataFrame, devices: DataFrame, path: str, run: str) -> str:
     """Write one ingest run's wide records with device attributes as JSON lines.
 
+    Attributes stand beside the values; a field that is missing is left out.
     Each run has its own folder, so a repeated run never mixes with another.
     """
     target = f"{path.rstrip('/')}/raw/telemetry_{run}"
-    wide = records.join(devices.select("device_id", F.col("name").alias("device_name"), "attributes"), "device_id")
+    named = devices.select(
+        "device_id", F.col("name").alias("device_name"), *[F.col("attributes")[k].alias(k) for k in S.ATTRIBUTE_KEYS]
+    )
+    wide = records.join(named, "device_id")
     wide.withColumnRenamed("ts", "timestamp").write.mode("overwrite").json(target)
     return target
 

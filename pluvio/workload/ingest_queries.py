@@ -97,7 +97,9 @@ def _landed(spark: SparkSession, folder: str) -> DataFrame:
         telemetry.wide_records(points(spark, folder)), devices(spark, folder), fresh_path(spark, "landing"), "20240201_000000"
     )
     keys = ", ".join(f"{k} string" for k in S.TELEMETRY_KEYS)
-    back = spark.read.schema(f"device_id string, device_name string, timestamp bigint, {keys}").json(target)
+    back = spark.read.schema(
+        f"device_id string, device_name string, codigo_wmo string, nome string, estado string, timestamp bigint, {keys}"
+    ).json(target)
     return back.withColumns({k: F.col(k).cast("double") for k in S.TELEMETRY_KEYS})
 
 
@@ -203,6 +205,11 @@ QUERIES = {
         ),
         sql("""SELECT e.nome AS estacao, CAST(NULL AS VARCHAR) AS erro, COUNT(*) AS registros, CAST(0 AS BIGINT) AS rejeitados
 FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo GROUP BY e.nome"""),
+    ),
+    "snk07_load_summary": Query(
+        lambda s, d: station_csv.load_summary(files(s, d).report()),
+        sql("""SELECT COUNT(DISTINCT codigo_wmo) AS total_arquivos, COUNT(DISTINCT codigo_wmo) AS estacoes_processadas,
+  COUNT(*) AS total_registros, CAST(0 AS BIGINT) AS arquivos_com_erro FROM obs"""),
     ),
     "snk02_load_station_files": Query(
         lambda s, d: _loaded_files(s, d).drop("id", "created_at", S.MONTH_PARTITION),
@@ -256,7 +263,8 @@ WHERE intensidade_predita = 'forte' GROUP BY 1""",
     "snk05_raw_landing": Query(
         _landed,
         sql(
-            f"""SELECT device_id, 'Estacao_' || pt.codigo_wmo || '_' || MAX(e.regiao) AS device_name, ts AS timestamp, {WIDE_KEYS}
+            f"""SELECT device_id, 'Estacao_' || pt.codigo_wmo || '_' || MAX(e.regiao) AS device_name, pt.codigo_wmo,
+  MAX(e.nome) AS nome, MAX(e.uf) AS estado, ts AS timestamp, {WIDE_KEYS}
 FROM pt JOIN est e ON e.codigo_wmo = pt.codigo_wmo GROUP BY device_id, pt.codigo_wmo, ts""",
             extra=HOUR_POINTS,
         ),
