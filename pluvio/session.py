@@ -31,17 +31,24 @@ def build_session(app: str = "pluvio", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent (tests on one machine) a temporary folder is
-    made and remembered in the session.
+    Without the setting a local session gets one temporary folder, as in
+    tests; on a cluster the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="pluvio-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="pluvio-")
+    return _local_folders[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio import schema as S
@@ -140,13 +140,16 @@ def _stream_means(spark: SparkSession, folder: str, copies: int) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def _folder_name() -> Column:
+    return F.split(F.element_at(F.split("arquivo", "/"), -2), "=")[1]
+
+
 def _file_codes(spark: SparkSession, folder: str) -> DataFrame:
     """The station code found in the name of each file's folder."""
     path = landing.station_files(spark, folder)
     found = station_csv.discover_stations(station_csv.read_lines(spark, path))
-    folder_name = F.split(F.element_at(F.split("arquivo", "/"), -2), "=")[1]
-    coded = station_csv.file_stations(station_csv.list_files(spark, path), found, folder_name)
-    return coded.select(folder_name.alias("arquivo"), "codigo_wmo")
+    coded = station_csv.file_stations(station_csv.list_files(spark, path), found, _folder_name())
+    return coded.select(_folder_name().alias("arquivo"), "codigo_wmo")
 
 
 # A window is emitted once the newest value lies two hours past its end. The
@@ -159,6 +162,10 @@ WHERE intensidade_chuva IS NOT NULL AND vento_velocidade_ms <> 0
 GROUP BY time_bucket(INTERVAL '30 minutes', timestamp_utc), intensidade_chuva, newest
 HAVING time_bucket(INTERVAL '30 minutes', timestamp_utc) + INTERVAL '30 minutes' <= newest - INTERVAL '2 hours'""")
 
+FILE_NAME = (
+    "'ESTACAO_' || codigo_wmo || '_' || strftime(timestamp_utc, '%Y-%m') || '_' || "
+    f"CAST(id // {landing.ROWS_PER_FILE} AS VARCHAR)"
+)
 LAST_ROW = f""", last AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (
   PARTITION BY codigo_wmo, data, {MINUTE} ORDER BY id DESC) AS rn FROM obs) AS r WHERE rn = 1)"""
 LAST_HOUR = ", hr AS (SELECT *, substr(hora_utc, 1, 2) || ':00:00' AS clock FROM obs)"
@@ -167,6 +174,10 @@ DEVICE_OBS = f"""SELECT codigo_wmo, {text('CAST(hora AS DATE)')} AS data, strfti
   hora AS timestamp_utc, {WIDE_MEASURES} FROM pt GROUP BY codigo_wmo, hora"""
 
 QUERIES = {
+    "src01_station_file_list": Query(
+        lambda s, d: station_csv.list_files(s, landing.station_files(s, d)).select(_folder_name().alias("arquivo")).distinct(),
+        sql(f"SELECT DISTINCT {FILE_NAME} AS arquivo FROM obs"),
+    ),
     "src02_station_file_rows": Query(
         lambda s, d: files(s, d).observations.drop("arquivo", "bloco", "linha", "intensidade_chuva"),
         sql(f"""SELECT codigo_wmo, {text('data')} AS data, {MINUTE} AS hora_utc,
@@ -349,9 +360,8 @@ FROM est"""),
     ),
     "jn09_file_station_codes": Query(
         _file_codes,
-        sql("""SELECT arquivo, arg_min(b.codigo_wmo, 'ESTACAO_' || b.codigo_wmo || '_2024-01_0/') AS codigo_wmo
-FROM (SELECT DISTINCT 'ESTACAO_' || codigo_wmo || '_' || strftime(timestamp_utc, '%Y-%m') || '_' || CAST(id // 250000 AS VARCHAR) AS arquivo
-  FROM obs) AS a JOIN (SELECT DISTINCT codigo_wmo FROM obs) AS b ON contains(a.arquivo, b.codigo_wmo) GROUP BY arquivo"""),
+        sql(f"""SELECT arquivo, arg_min(b.codigo_wmo, 'ESTACAO_' || b.codigo_wmo || '_2024-01_0/') AS codigo_wmo
+FROM (SELECT DISTINCT {FILE_NAME} AS arquivo FROM obs) AS a JOIN (SELECT DISTINCT codigo_wmo FROM obs) AS b ON contains(a.arquivo, b.codigo_wmo) GROUP BY arquivo"""),
     ),
     "dq13_telemetry_coverage": Query(
         lambda s, d: profile.telemetry_coverage(points(s, d), devices(s, d)).select("device_id", "key", "pontos"),
