@@ -30,7 +30,7 @@ def month_start(ts: Column) -> Column:
 
 
 def hour_start(ts: Column) -> Column:
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    return ts.cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts))
 
 
 def epoch_ms(ts: Column) -> Column:
@@ -48,9 +48,9 @@ def from_epoch_ms(ms: Column) -> Column:
     return origin + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def clock_text(ts: Column) -> Column:
-    """``HH:mm:ss``, the stored form of the hour."""
-    return F.date_format(ts, "HH:mm:ss")
+def clock_text(ts: Column, length: int = 8) -> Column:
+    """``HH:mm:ss``, the stored form of the hour, or its first characters."""
+    return F.substring(ts.cast("string"), 12, length)
 
 
 def utc_timestamp(day: Column, clock: Column) -> Column:

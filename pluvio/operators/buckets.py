@@ -51,8 +51,9 @@ def newest_per_group(
 ) -> DataFrame:
     """The newest ``limit`` rows of each group.
 
-    Buckets newer than the cut are kept whole without ranking. Only the rows
-    of the one bucket per group that the cut falls into are ranked.
+    Counts per bucket tell which buckets the limit reaches; all rows of older
+    buckets are dropped before anything is sorted. The rows that remain are
+    ranked within their bucket, behind the count of the newer buckets.
     """
     groups = list(groups)
     rows = df.withColumn("_bucket", bucket)
@@ -62,15 +63,13 @@ def newest_per_group(
         .agg(F.count("*").alias("_rows"))
         .withColumn("_newer", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
         .where(F.col("_newer") < limit)
-        .withColumn("_cut", F.col("_newer") + F.col("_rows") > limit)
         .drop("_rows")
     )
-    kept = rows.join(reach, [*groups, "_bucket"])
-    ranked = Window.partitionBy(*groups, "_bucket").orderBy(F.desc(order), *tie_break)
-    at_cut = (
-        kept.where("_cut")
-        .withColumn("_rank", F.row_number().over(ranked))
-        .where(F.col("_rank") + F.col("_newer") <= limit)
-        .drop("_rank")
+    within = Window.partitionBy(*groups, "_bucket").orderBy(F.desc(order), *tie_break)
+    place = F.col("_newer") + F.row_number().over(within)
+    return (
+        rows.join(reach, [*groups, "_bucket"])
+        .withColumn("_place", place)
+        .where(F.col("_place") <= limit)
+        .drop("_bucket", "_newer", "_place")
     )
-    return kept.where(~F.col("_cut")).unionByName(at_cut).drop("_bucket", "_newer", "_cut")

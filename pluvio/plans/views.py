@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pluvio import schema as S
 from pluvio.functions.numeric import mean, or_zero, percent
-from pluvio.functions.timeparts import month_start
+from pluvio.functions.timeparts import clock_text, month_start
 from pluvio.operators.filters import Moment, classified, in_range, moment, rainy
 from pluvio.operators.joins import with_predictions, with_station
 
@@ -193,7 +193,7 @@ def recent_days(observations: DataFrame, stations: DataFrame, as_of: dt.date | s
     return with_station(recent, stations, "nome", "uf").select(
         "timestamp_utc",
         _day().alias("data"),
-        F.date_format("timestamp_utc", "HH:mm").alias("hora"),
+        clock_text(F.col("timestamp_utc"), 5).alias("hora"),
         F.col("nome").alias("nome_estacao"),
         "uf",
         CLASS,
