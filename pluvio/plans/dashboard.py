@@ -88,18 +88,19 @@ def class_by_busiest_station(
 ) -> DataFrame:
     """Class counts of the stations with most rows, classified or not.
 
-    One aggregate by station and class (no class included) serves both the
-    ranking and the result. Equal totals are ranked by code.
+    The classes of a station, a handful, travel with its total, so one pass
+    serves both the ranking and the result. Equal totals are ranked by code.
     """
     per_code = _station_class(in_range(observations, start, end))
+    entry = F.struct(CLASS, "total_registros", "_sum", "_count")
     busiest = (
         per_code.groupBy("codigo_wmo")
-        .agg(F.sum("total_registros").alias("_total"))
+        .agg(F.sum("total_registros").alias("_total"), F.collect_list(entry).alias("_entries"))
         .orderBy(F.desc("_total"), "codigo_wmo")
         .limit(top)
     )
-    known = per_code.where(F.col(CLASS).isNotNull()).join(stations.select("codigo_wmo"), "codigo_wmo")
-    return _station_class_result(known.join(busiest.select("codigo_wmo"), "codigo_wmo", "left_semi"))
+    classes = busiest.select("codigo_wmo", F.inline("_entries")).where(F.col(CLASS).isNotNull())
+    return _station_class_result(classes.join(stations.select("codigo_wmo"), "codigo_wmo"))
 
 
 def station_heat_map(
