@@ -44,3 +44,28 @@ def by_slices(function: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int =
                 yield function(batch.slice(start, rows))
 
     return run
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores behind it while the frame has such a column already."""
+    taken = {name.lower() for name in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def kinds(df: DataFrame) -> str:
+    """The frame's columns as a schema text."""
+    quoted = [(f.name.replace("`", "``"), f.dataType.simpleString()) for f in df.schema]
+    return ", ".join(f"`{name}` {kind}" for name, kind in quoted)
+
+
+def with_values(df: DataFrame, source: str, name: str, kind: str, arrow: pa.DataType, function: Callable[[list], list], rows: int = ROWS) -> DataFrame:
+    """The frame and a column ``name``, made by ``function`` from lists of values of ``source``."""
+    place = df.columns.index(source)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        made = pa.array(function(batch.column(place).to_pylist()), arrow)
+        return pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, name])
+
+    return df.mapInArrow(by_slices(run, rows), f"{kinds(df)}, `{name}` {kind}")

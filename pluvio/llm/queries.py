@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe
-from pluvio.llm.common import table
+from pluvio.llm import bpe, decontaminate
+from pluvio.llm.common import col, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -24,7 +24,56 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
+    made = col("contamination")
+    return found.select(
+        "doc_id",
+        made["n_words"].alias("n_words"),
+        decontaminate.n_hit(made).alias("n_hit"),
+        F.size(made["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(made["items"], ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.contaminated(made).alias("contaminated"),
+    )
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), starts AS (
+  SELECT item_id, w, least(len(w), 13) AS k, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0
+), items AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS s FROM starts
+), places AS (
+  SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM items) WHERE len(w) >= k
+), hits AS (
+  SELECT r, i, places.k AS k, item_id
+  FROM places JOIN items ON places.k = items.k AND array_to_string(w[i : i + places.k - 1], ' ') = s
+), hit_words AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hits) GROUP BY r
+), hit_items AS (
+  SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit_words.n, 0) AS n_hit, coalesce(hit_items.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(hit_words.n, 0) > 0 AND 20 * coalesce(hit_words.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+"""
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op10_decontamination": op10_decontamination,
+}
+SQL: dict[str, str] = {
+    "op10_decontamination": OP10_SQL,
 }
-SQL: dict[str, str] = {}
