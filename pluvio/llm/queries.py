@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe, decontaminate
-from pluvio.llm.common import col, table
+from pluvio.llm import bpe, decontaminate, warc
+from pluvio.llm.common import col, staged, table
+from pluvio.session import fresh_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -24,6 +25,23 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    rows = warc.planned(table(spark, folder, "pages"))
+    index = staged(warc.write(rows, fresh_path(spark, "warc")), "warc-index")
+    tasks = index.select("bundle").distinct().count()
+    return warc.read(index, tasks).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, h, octet_length(encode(h)) AS n, max(page_id) OVER (PARTITION BY h) AS kept FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < kept THEN kept END AS refers_to
+FROM q
+"""
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
@@ -72,8 +90,10 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op4_warc": op4_warc,
     "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {
+    "op4_warc": OP4_SQL,
     "op10_decontamination": OP10_SQL,
 }
