@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe, decontaminate, warc
+from pluvio.llm import bpe, decontaminate, mtree, warc
 from pluvio.llm.common import col, staged, table
 from pluvio.session import fresh_path
 
@@ -42,6 +42,28 @@ FROM q
 """
 
 
+def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.top_k(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, q.v AS qv, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON len(q.v) = len(c.v) AND (q.vec_id <> c.vec_id OR q.v <> c.v)
+  WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id) AS n FROM s
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
+"""
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
@@ -91,9 +113,11 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_warc": op4_warc,
+    "op8_top_k": op8_top_k,
     "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {
     "op4_warc": OP4_SQL,
+    "op8_top_k": OP8_SQL,
     "op10_decontamination": OP10_SQL,
 }
