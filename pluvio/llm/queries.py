@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe, decontaminate, mtree, warc
-from pluvio.llm.common import col, staged, table
+from pluvio.llm import bpe, decontaminate, language, mtree, warc
+from pluvio.llm.common import col, held_out, staged, table
 from pluvio.session import fresh_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -42,6 +42,13 @@ FROM q
 """
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    network = language.fit(docs, ~held_out(F.col("doc_id")))
+    found = language.predict(docs.select("doc_id", "text"), network)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return mtree.top_k(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
 
@@ -113,6 +120,7 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_warc": op4_warc,
+    "op7_language": op7_language,
     "op8_top_k": op8_top_k,
     "op10_decontamination": op10_decontamination,
 }
