@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pluvio.llm.common import col, with_values
 
 PIECE = 32
-HIDDEN = 24
+HIDDEN = 16
 SAMPLE = 400
 LONGEST = 1 << 16
 LANGUAGES = 256
@@ -179,8 +179,8 @@ class Pooler:
         while len(self.known) + len(new) > len(self.sums):
             self.sums = np.vstack([self.sums, np.zeros_like(self.sums)])
         for length, found in by_length.items():
-            for i in range(0, len(found), 4096):
-                part = found[i : i + 4096]
+            for i in range(0, len(found), 1024):
+                part = found[i : i + 1024]
                 x = np.frombuffer(b"".join(part), np.uint8).reshape(len(part), length)
                 first = len(self.known)
                 self.sums[first : first + len(part)] = self.network.positions(x).mean(0)

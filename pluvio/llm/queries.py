@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe, decontaminate, language, mtree, warc
+from pluvio.llm import bpe, decontaminate, language, mtree, toxicity, warc
 from pluvio.llm.common import col, held_out, staged, table
 from pluvio.session import fresh_path
 
@@ -42,6 +42,18 @@ FROM q
 """
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"), ~held_out(F.col("doc_id")))
+    made = col("toxicity")
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        made["score"].alias("score"),
+        (made["score"] >= 0.5).cast("int").alias("predicted"),
+        made["evidence"].alias("evidence"),
+    )
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     network = language.fit(docs, ~held_out(F.col("doc_id")))
@@ -120,6 +132,7 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_warc": op4_warc,
+    "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op8_top_k": op8_top_k,
     "op10_decontamination": op10_decontamination,
