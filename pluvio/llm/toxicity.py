@@ -2,9 +2,10 @@
 
 Examples are a bounded sample of labelled rows: at most ``EXAMPLES`` per label,
 every labelled row with the same chance. Terms are words in lower case and their
-first four and five letters, so that inflected forms meet; the vocabulary is the
-at most ``TERMS`` terms whose presence differs between the two labels far beyond
-chance and at least threefold. One pass over all documents keeps the counts of
+first four to six letters, so that inflected forms meet. Cosine forgets how often
+a term stands in a text, so a term that stands there twice or three times counts
+as further terms of its own. The vocabulary is the at most ``TERMS`` terms whose
+presence differs between the two labels far beyond chance and at least threefold. One pass over all documents keeps the counts of
 these terms, and document frequencies come from all documents.
 
 The examples form an inverted index in blocks of ``BLOCK`` examples, ordered so
@@ -47,7 +48,22 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def terms_of(word: str) -> tuple[str, ...]:
-    return (word, *(f"{word[:n]}*" for n in (4, 5) if len(word) >= n))
+    return (word, *(f"{word[:n]}*" for n in (4, 5, 6) if len(word) >= n))
+
+
+def present(text: str | None) -> set[str]:
+    """The terms of a text, repeated ones included."""
+    words = Counter(_WORD.findall((text or "").lower()))
+    counts: Counter[str] = Counter()
+    for word, n in words.items():
+        for term in terms_of(word):
+            counts[term] += n
+    return {name for term, n in counts.items() for name in repeated(term)[: min(n, 3)]}
+
+
+def repeated(term: str) -> tuple[str, str, str]:
+    """The term, and what it is called from its second and third place on."""
+    return term, f"{term}+", f"{term}++"
 
 
 def examples(labels: DataFrame, learn: Column, id_col: str, label_col: str, limit: int = EXAMPLES) -> tuple[dict[object, int], dict[int, float]]:
@@ -70,8 +86,7 @@ def select_terms(texts: DataFrame, limit: int = TERMS) -> list[str]:
         seen = {0: 0, 1: 0}
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = set(_WORD.findall((text or "").lower()))
-                found[label].update({term for word in words for term in terms_of(word)})
+                found[label].update(present(text))
                 seen[label] += 1
         for label, counter in found.items():
             counter[""] = seen[label]
@@ -98,23 +113,26 @@ def select_terms(texts: DataFrame, limit: int = TERMS) -> list[str]:
 
 def count_terms(docs: DataFrame, vocabulary: list[str], text_col: str, as_col: str) -> DataFrame:
     """The documents with ``as_col``: numbers and counts of the vocabulary's terms in the whole text."""
-    shipped = docs.sparkSession.sparkContext.broadcast({term: i for i, term in enumerate(vocabulary)})
-    memory: dict[str, tuple[int, ...]] = {}
+    number = {term: i for i, term in enumerate(vocabulary)}
+    bases = {term.rstrip("+") for term in vocabulary}
+    shipped = docs.sparkSession.sparkContext.broadcast({base: tuple(number.get(x) for x in repeated(base)) for base in bases})
+    memory: dict[str, tuple[str, ...]] = {}
 
     def run(texts: list) -> list[dict]:
-        number = shipped.value
+        numbers = shipped.value
         made = []
         for text in texts:
-            counts: Counter[int] = Counter()
+            counts: Counter[str] = Counter()
             for word in _WORD.findall((text or "").lower()):
                 hits = memory.get(word)
                 if hits is None:
                     if len(memory) >= MEMORY:
                         memory.clear()
-                    hits = memory[word] = tuple(number[t] for t in terms_of(word) if t in number)
+                    hits = memory[word] = tuple(t for t in terms_of(word) if t in numbers)
                 if hits:
                     counts.update(hits)
-            made.append({"term": sorted(counts), "n": [counts[t] for t in sorted(counts)]})
+            found = sorted((i, n if place == 0 else 1) for t, n in counts.items() for place, i in enumerate(numbers[t][: min(n, 3)]) if i is not None)
+            made.append({"term": [i for i, _ in found], "n": [n for _, n in found]})
         return made
 
     kind = pa.struct([("term", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
