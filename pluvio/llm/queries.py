@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe, decontaminate, language, mtree, toxicity, warc
+from pluvio.llm import bpe, decontaminate, html, language, mtree, toxicity, warc
 from pluvio.llm.common import col, held_out, staged, table
 from pluvio.session import fresh_path
 
@@ -83,6 +83,12 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
 """
 
 
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = html.extract(pages, html.fit(pages))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
@@ -135,6 +141,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op8_top_k": op8_top_k,
+    "op9_main_text": op9_main_text,
     "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {
