@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe, decontaminate, html, language, mtree, toxicity, warc
+from pluvio.llm import bpe, decontaminate, html, language, mtree, quality, toxicity, warc
 from pluvio.llm.common import col, held_out, staged, table
 from pluvio.session import fresh_path
 
@@ -25,6 +25,13 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    trusted = quality.trusted_ids(table(spark, folder, "labels"), F.col("quality") == 1)
+    made = col("quality")
+    return quality.judge(docs, trusted).select("doc_id", made["nats"].alias("nats"), made["perplexity"].alias("perplexity"), made["threshold"].alias("threshold"), made["keep"].alias("keep"))
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     rows = warc.planned(table(spark, folder, "pages"))
     index = staged(warc.write(rows, fresh_path(spark, "warc")), "warc-index")
@@ -137,6 +144,7 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
     "op4_warc": op4_warc,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
