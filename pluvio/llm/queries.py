@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe, decontaminate, html, language, mtree, quality, toxicity, warc
+from pluvio.llm import bpe, chosen_path, decontaminate, html, language, mtree, quality, toxicity, warc
 from pluvio.llm.common import col, held_out, staged, table
 from pluvio.session import fresh_path
 
@@ -32,6 +32,11 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, trusted).select("doc_id", made["nats"].alias("nats"), made["perplexity"].alias("perplexity"), made["threshold"].alias("threshold"), made["keep"].alias("keep"))
 
 
+def op3_similar(spark: SparkSession, folder: str) -> DataFrame:
+    found = chosen_path.join(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     rows = warc.planned(table(spark, folder, "pages"))
     index = staged(warc.write(rows, fresh_path(spark, "warc")), "warc-index")
@@ -145,6 +150,7 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
+    "op3_similar": op3_similar,
     "op4_warc": op4_warc,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
