@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe, chosen_path, decontaminate, html, language, mtree, quality, toxicity, warc
+from pluvio.llm import bpe, chosen_path, decontaminate, html, language, mtree, quality, suffix, toxicity, warc
 from pluvio.llm.common import col, held_out, staged, table
 from pluvio.session import fresh_path
 
@@ -54,6 +54,11 @@ FROM q
 """
 
 
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix.summary(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"), ~held_out(F.col("doc_id")))
     made = col("toxicity")
@@ -152,6 +157,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_similar": op3_similar,
     "op4_warc": op4_warc,
+    "op5_repeats": op5_repeats,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op8_top_k": op8_top_k,
