@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import by_slices, col
+from pluvio.llm.common import col, with_values
 
 LOOK_AHEAD = 2
 LEAF_CHARS = 8192
@@ -174,30 +174,25 @@ def _codec(ranks: bytes, pattern: str) -> Codec:
     return Codec(ranks, pattern)
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: its id, ``ids`` (packed little-endian, four bytes each) and ``n_tokens``."""
-    rows = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
+def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: its id, the columns to keep, ``ids`` (packed little-endian, four bytes each) and ``n_tokens``."""
+    rows = docs.select(col(id_col), *[col(c) for c in keep], col(text_col).cast("string").alias("text_"))
     shipped = docs.sparkSession.sparkContext.broadcast(ranks)  # under a megabyte, fixed by the vocabulary
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(texts: list) -> list[bytes]:
         codec = _codec(shipped.value, pattern)
-        ids = [codec.encode(text) for text in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+        return [codec.encode(text) for text in texts]
 
-    kind = rows.schema["id"].dataType.simpleString()
-    coded = rows.mapInArrow(by_slices(run), f"id {kind}, ids binary")
-    return coded.select(F.col("id").alias(id_col), "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"))
+    coded = with_values(rows, "text_", "ids", "binary", pa.binary(), run)
+    return coded.drop("text_").withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
 
 
 def decode(coded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """The rows of ``encode`` with ``decoded``, the bytes of their ids."""
     shipped = coded.sparkSession.sparkContext.broadcast(ranks)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(found: list) -> list[bytes]:
         codec = _codec(shipped.value, pattern)
-        place = batch.schema.get_field_index("ids")
-        texts = [codec.decode(ids) for ids in batch.column(place).to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
+        return [codec.decode(ids) for ids in found]
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema)
-    return coded.mapInArrow(by_slices(run), f"{kinds}, decoded binary")
+    return with_values(coded, "ids", "decoded", "binary", pa.binary(), run)
