@@ -46,7 +46,7 @@ from pluvio.llm.common import col, free_name, staged, with_values
 from pluvio.session import fresh_path
 
 LENGTH, GRAM = 200, 32
-SHARD = 4 << 20
+SHARD = 1 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _BYTES = (np.arange(1, 257, dtype=np.uint64) * _A) ^ ((np.arange(1, 257, dtype=np.uint64) * _B) >> np.uint64(31))
 
