@@ -11,6 +11,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def total(value: Column | str, scale: int = 2) -> Column:
+    """Aggregate: the exact sum, wide enough for any number of rows.
+
+    A sum of ``decimal(5,2)`` is ``decimal(15,2)`` and ends at 1e13, which
+    10**11 rows of humidity reach. ``scale`` is the column's own.
+    """
+    column = F.col(value) if isinstance(value, str) else value
+    return F.sum(column.cast(f"decimal(28,{scale})"))
+
+
 def half_up_ratio(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator`` in hundredths, rounded half away from zero.
 
@@ -24,13 +34,16 @@ def half_up_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def mean(value: Column) -> Column:
-    """Aggregate: the exact sum over the number of non-null values, as double."""
-    return F.try_divide(F.sum(value).cast("double"), F.count(value))
+    """Aggregate: the exact sum over the number of non-null values, as double.
+
+    Four decimals cover measures and probabilities alike.
+    """
+    return F.try_divide(total(value, 4).cast("double"), F.count(value))
 
 
 def rounded_mean(value: Column) -> Column:
     """Aggregate: the mean of a two-decimal column, rounded to two decimals."""
-    hundredths = (F.sum(value) * 100).cast("bigint")
+    hundredths = (total(value) * 100).cast("bigint")
     return half_up_ratio(hundredths, F.count(value))
 
 

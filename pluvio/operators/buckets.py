@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def running_total(
@@ -24,21 +25,28 @@ def running_total(
 ) -> DataFrame:
     """Running sum of ``value`` per group by ``order``; equal times share a sum.
 
-    The default bucket is the calendar day: a group has one total per day, and
-    a day of observations keyed by station and second has at most 86,400 rows.
-    NULL values add nothing, and a group's sum is NULL until its first value.
+    Rows of one time are summed first, combined before the shuffle, so ties
+    and repeated rows never gather. The default bucket is the calendar day: what
+    is ordered in one task is the distinct times of a group's day, and a group
+    has one total per day. The sums join the rows by group and time. NULL values
+    add nothing, and a group's sum is NULL until its first value.
     """
-    rows = df.withColumn("_bucket", F.to_date(order) if bucket is None else bucket)
+    kind = df.schema[value].dataType
+    wide = F.col(value).cast(T.DecimalType(28, kind.scale)) if isinstance(kind, T.DecimalType) else F.col(value)
+    day = F.to_date(order) if bucket is None else bucket
+    times = df.groupBy(group, order).agg(F.sum(wide).alias("_sum")).withColumn("_bucket", day)
     earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(group, "_bucket")
-        .agg(F.sum(value).alias("_bucket_sum"))
+        times.groupBy(group, "_bucket")
+        .agg(F.sum("_sum").alias("_bucket_sum"))
         .select(group, "_bucket", F.sum("_bucket_sum").over(earlier).alias("_before"))
     )
-    within = F.sum(value).over(Window.partitionBy(group, "_bucket").orderBy(order))
-    joined = rows.withColumn("_within", within).join(offsets, [group, "_bucket"])
+    within = F.sum("_sum").over(Window.partitionBy(group, "_bucket").orderBy(order))
     total = F.coalesce(F.col("_before") + F.col("_within"), F.col("_within"), F.col("_before"))
-    return joined.withColumn(output, total).drop("_bucket", "_within", "_before")
+    sums = times.withColumn("_within", within).join(offsets, [group, "_bucket"])
+    sums = sums.select(F.col(group).alias("_group"), F.col(order).alias("_order"), total.alias(output))
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(order).eqNullSafe(F.col("_order"))
+    return df.join(sums, same).drop("_group", "_order")
 
 
 def newest_per_group(

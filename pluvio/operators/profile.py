@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio import schema as S
-from pluvio.functions.numeric import half_up_ratio, or_zero
+from pluvio.functions.numeric import half_up_ratio, or_zero, total
 from pluvio.operators.quantiles import Quantile, ranked, value_counts
 
 QUARTILES = [Quantile("p25", 0.25), Quantile("p50", 0.5), Quantile("p75", 0.75)]
@@ -146,7 +146,7 @@ def monthly_precipitation(observations: DataFrame) -> DataFrame:
     ts = F.col("timestamp_utc")
     return (
         observations.groupBy(F.year(ts).alias("ano"), F.month(ts).alias("mes"))
-        .agg(or_zero(F.sum("precipitacao_mm")).alias("precipitacao_mm"))
+        .agg(or_zero(total("precipitacao_mm")).alias("precipitacao_mm"))
         .withColumn("data", F.make_date("ano", "mes", F.lit(1)))
     )
 

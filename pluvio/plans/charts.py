@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvio import schema as S
-from pluvio.functions.numeric import or_zero
+from pluvio.functions.numeric import or_zero, total
 from pluvio.operators.filters import classified
 from pluvio.operators.joins import with_station
 from pluvio.plans.views import CLASS
@@ -36,7 +36,7 @@ def daily_rain(observations: DataFrame) -> DataFrame:
         classified(observations)
         .groupBy(F.to_date("timestamp_utc").alias("data"), CLASS)
         .agg(
-            or_zero(F.sum("precipitacao_mm")).alias("precipitacao_total"),
+            or_zero(total("precipitacao_mm")).alias("precipitacao_total"),
             F.count("codigo_wmo").alias("num_registros"),
         )
     )

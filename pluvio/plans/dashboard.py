@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pluvio import schema as S
-from pluvio.functions.numeric import half_up_ratio, mean, rounded_mean
+from pluvio.functions.numeric import half_up_ratio, mean, rounded_mean, total
 from pluvio.functions.timeparts import month_start
 from pluvio.operators.buckets import running_total
 from pluvio.operators.filters import Moment, in_range
@@ -45,7 +45,7 @@ def rain_points(observations: DataFrame, start: Moment | None = None, end: Momen
 def _station_class(observations: DataFrame) -> DataFrame:
     """Station code and class: rows, rain sum, rain count."""
     return observations.groupBy("codigo_wmo", CLASS).agg(
-        F.count("*").alias("total_registros"), F.sum(RAIN).alias("_sum"), F.count(RAIN).alias("_count")
+        F.count("*").alias("total_registros"), total(RAIN).alias("_sum"), F.count(RAIN).alias("_count")
     )
 
 
@@ -212,7 +212,7 @@ def monthly_total(observations: DataFrame, start: Moment | None = None, end: Mom
     return (
         rows_in_range(observations, start, end)
         .groupBy(month_start(F.col("timestamp_utc")).alias("time"), CLASS)
-        .agg(F.sum(RAIN).alias("value"), F.count("*").alias("total_registros"))
+        .agg(total(RAIN).alias("value"), F.count("*").alias("total_registros"))
     )
 
 
@@ -335,7 +335,7 @@ def daily_summary(observations: DataFrame, start: Moment | None = None, end: Mom
         .agg(
             F.count("*").alias("total_registros"),
             *[F.count_if(F.col(CLASS) == c).alias(c) for c in S.CLASSES],
-            F.sum(RAIN).alias("precip_total_dia"),
+            total(RAIN).alias("precip_total_dia"),
             F.max(RAIN).alias("precip_max_dia"),
             rounded_mean(F.col("temperatura_ar_c")).alias("temp_media_dia"),
             rounded_mean(F.col("umidade_rel_horaria_pct")).alias("umidade_media_dia"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio import schema as S
-from pluvio.functions.numeric import mean, or_zero, percent
+from pluvio.functions.numeric import mean, or_zero, percent, total
 from pluvio.functions.timeparts import clock_text, month_start
 from pluvio.operators.filters import Moment, classified, in_range, moment, rainy
 from pluvio.operators.joins import with_predictions, with_station
@@ -41,7 +41,7 @@ def daily_data(observations: DataFrame) -> DataFrame:
     return observations.groupBy("codigo_wmo", "data").agg(
         F.count("*").alias("total_registros"),
         mean(F.col("precipitacao_mm")).alias("precip_media"),
-        F.sum("precipitacao_mm").alias("precip_total"),
+        total("precipitacao_mm").alias("precip_total"),
         F.max("precipitacao_mm").alias("precip_max"),
         mean(F.col("temperatura_ar_c")).alias("temp_media"),
         F.max("temperatura_ar_c").alias("temp_max"),
@@ -60,7 +60,7 @@ def class_by_station_name(observations: DataFrame, stations: DataFrame) -> DataF
         .groupBy("codigo_wmo", CLASS)
         .agg(
             F.count("*").alias("_n"),
-            F.sum("precipitacao_mm").alias("_sum"),
+            total("precipitacao_mm").alias("_sum"),
             F.count("precipitacao_mm").alias("_count"),
             F.max("precipitacao_mm").alias("_max"),
         )
@@ -127,7 +127,7 @@ def daily_by_class(observations: DataFrame) -> DataFrame:
         .groupBy(_day().alias("data"), CLASS)
         .agg(
             F.count("*").alias("total_registros"),
-            or_zero(F.sum("precipitacao_mm")).alias("precip_total_dia"),
+            or_zero(total("precipitacao_mm")).alias("precip_total_dia"),
             or_zero(mean(F.col("precipitacao_mm"))).alias("precip_media_dia"),
             or_zero(F.max("precipitacao_mm")).alias("precip_max_dia"),
             or_zero(mean(F.col("temperatura_ar_c"))).alias("temp_media"),
@@ -151,7 +151,7 @@ def station_statistics(observations: DataFrame, stations: DataFrame) -> DataFram
             *_class_counts({c: f"registros_chuva_{c}" for c in S.RAINY_CLASSES}),
             mean(F.col("precipitacao_mm")).alias("precip_media"),
             F.max("precipitacao_mm").alias("precip_max"),
-            F.sum("precipitacao_mm").alias("precip_total"),
+            total("precipitacao_mm").alias("precip_total"),
             mean(F.col("temperatura_ar_c")).alias("temp_media"),
             F.max("temperatura_ar_c").alias("temp_max"),
             F.min("temperatura_ar_c").alias("temp_min"),
@@ -185,11 +185,12 @@ def class_share_by_station(observations: DataFrame, stations: DataFrame) -> Data
 
 
 def recent_days(observations: DataFrame, stations: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
-    """Detail rows since midnight ``days`` before ``as_of``, with hour as text."""
+    """Detail rows since midnight ``days`` before ``as_of`` and up to it, with hour as text."""
     since = F.date_sub(moment(as_of).cast("date"), days).cast("timestamp_ntz")
-    recent = classified(observations).where(F.col("timestamp_utc") >= since)
+    recent = classified(observations).where(F.col("timestamp_utc").between(since, moment(as_of)))
     if S.MONTH_PARTITION in observations.columns:
-        recent = recent.where(F.col(S.MONTH_PARTITION) >= F.trunc(since.cast("date"), "month"))
+        months = [F.trunc(edge.cast("date"), "month") for edge in (since, moment(as_of))]
+        recent = recent.where(F.col(S.MONTH_PARTITION).between(*months))
     return with_station(recent, stations, "nome", "uf").select(
         "timestamp_utc",
         _day().alias("data"),
@@ -213,7 +214,7 @@ def monthly_by_class(observations: DataFrame) -> DataFrame:
         .groupBy(month_start(F.col("timestamp_utc")).alias("mes"), CLASS)
         .agg(
             F.count("*").alias("total_registros"),
-            F.sum("precipitacao_mm").alias("precip_total_mes"),
+            total("precipitacao_mm").alias("precip_total_mes"),
             mean(F.col("precipitacao_mm")).alias("precip_media_mes"),
             F.max("precipitacao_mm").alias("precip_max_mes"),
             F.countDistinct("codigo_wmo").alias("num_estacoes"),

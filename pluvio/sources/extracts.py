@@ -70,9 +70,10 @@ def latest_rows(
 ) -> DataFrame:
     """The newest rows of the last hours up to ``as_of``; equal times by code and id."""
     since = moment(as_of) - F.make_dt_interval(hours=F.lit(hours))
-    recent = observations.where(F.col("timestamp_utc") >= since)
+    recent = observations.where(F.col("timestamp_utc").between(since, moment(as_of)))
     if S.MONTH_PARTITION in observations.columns:
-        recent = recent.where(F.col(S.MONTH_PARTITION) >= F.trunc(since.cast("date"), "month"))
+        months = [F.trunc(edge.cast("date"), "month") for edge in (since, moment(as_of))]
+        recent = recent.where(F.col(S.MONTH_PARTITION).between(*months))
     return (
         with_station(recent, stations, "nome")
         .orderBy(F.desc("timestamp_utc"), "codigo_wmo", "id")

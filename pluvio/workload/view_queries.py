@@ -40,7 +40,7 @@ OK = f"{C} IS NOT NULL"
 DAY = text("CAST(timestamp_utc AS DATE)")
 MONTH = text("CAST(date_trunc('month', timestamp_utc) AS DATE)")
 COUNT_CLASS = total(f"CASE WHEN {C} = '{{c}}' THEN 1 ELSE 0 END")
-AS_OF = "2024-01-30 23:59:59"
+AS_OF = "2024-01-20 12:00:00"
 
 
 def zero(expression: str) -> str:
@@ -404,10 +404,10 @@ WHERE timestamp_utc BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-
         sql(f"SELECT id, {dbl(WIND)} AS {WIND} FROM obs WHERE {WIND} IS NOT NULL AND {WIND} <> 0"),
     ),
     "prj09_recent_days": Query(
-        lambda s, d: views.recent_days(obs(s, d), est(s, d), "2024-01-30"),
+        lambda s, d: views.recent_days(obs(s, d), est(s, d), AS_OF),
         sql(f"""SELECT timestamp_utc, {DAY} AS data, strftime(timestamp_utc, '%H:%M') AS hora, e.nome AS nome_estacao, e.uf, {C},
   {", ".join(f"{dbl(m)} AS {m}" for m in [P, TEMP, H, PRESS, WIND, RAD])}
-FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK} AND timestamp_utc >= TIMESTAMP '2024-01-23 00:00:00'"""),
+FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK} AND timestamp_utc BETWEEN TIMESTAMP '2024-01-13 00:00:00' AND TIMESTAMP '{AS_OF}'"""),
     ),
     "prj10_filter_lists": Query(
         lambda s, d: filters.select_scope(
@@ -462,7 +462,7 @@ FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK}"""),
     "src17_latest_rows": Query(
         lambda s, d: extracts.latest_rows(obs(s, d), est(s, d), AS_OF, 100),
         sql(f"""SELECT o.codigo_wmo, e.nome AS estacao_nome, timestamp_utc, {", ".join(f"{dbl(m)} AS {m}" for m in [P, PRESS, TEMP, H, WIND, RAD])}
-FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE timestamp_utc >= TIMESTAMP '{AS_OF}' - INTERVAL '24 hours'
+FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE timestamp_utc BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL '24 hours' AND TIMESTAMP '{AS_OF}'
 ORDER BY timestamp_utc DESC, o.codigo_wmo, id LIMIT 100"""),
     ),
     "jn03_predictions_by_hour": Query(
