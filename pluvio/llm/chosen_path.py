@@ -10,8 +10,10 @@ sketch is chosen with probability ``1 / (LAMBDA * SKETCH)``, by a hash of the no
 and the position; the sets that agree there, having sampled a shared token, meet
 in the child node. Sets less alike than ``LAMBDA`` are soon apart. Every run goes
 ``DEPTH`` levels down at once; buckets with more than ``LARGE`` members or
-``HEAVY`` shingles are split further, level by level, to ``DEEPEST``. What is still
-large then is cut into blocks and every two blocks meet, so no bucket is dropped.
+``HEAVY`` shingles are split further, level by level, to ``DEEPEST``, unless their
+children show that their members are more alike than ``LAMBDA`` on average, when
+splitting would only copy them. Buckets that stay large are cut into blocks and
+every two blocks meet, so no bucket is dropped.
 
 *Runs.* A pair at the threshold survives a run with at least the probability that
 a branching process with mean ``threshold / LAMBDA`` never dies, whatever the
@@ -48,7 +50,7 @@ from pluvio.llm.decontaminate import words
 WIDTH, THRESHOLD, TARGET = 5, 0.8, 0.995
 SKETCH, LAMBDA = 64, 0.5
 DEPTH, DEEPEST = 3, 6
-LARGE, HEAVY = 1024, 1 << 20
+LARGE, HEAVY = 2048, 1 << 20
 MEMORY = 500_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -160,15 +162,18 @@ def _paths(classes: DataFrame, runs: int) -> DataFrame:
 
 
 def _next_level(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """The large nodes' rows one level down, with the node they come from and its members."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column(0).to_numpy().view(np.uint64)
-            found = [children(nodes[i : i + 1], np.frombuffer(v, np.uint32)) for i, v in enumerate(batch.column(3).to_pylist())]
+            found = [children(nodes[i : i + 1], np.frombuffer(v, np.uint32)) for i, v in enumerate(batch.column(4).to_pylist())]
             place = pa.array(np.repeat(np.arange(batch.num_rows), [len(f) for f in found]))
             if len(place):
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(found))), batch.column(1).take(place), batch.column(2).take(place)], ["node", "set", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(found))), *[batch.column(k).take(place) for k in (1, 2, 0, 3)]], ["node", "set", "n", "parent", "above"])
 
-    return large.select("node", "set", "n").join(classes.select("set", "sketch"), "set").select("node", "set", "n", "sketch").mapInArrow(run, "node bigint, set bigint, n int")
+    rows = large.select("node", "set", "n", "members").join(classes.select("set", "sketch"), "set").select("node", "set", "n", "members", "sketch")
+    return rows.mapInArrow(run, "node bigint, set bigint, n int, parent bigint, above bigint")
 
 
 def _sized(rows: DataFrame) -> DataFrame:
@@ -181,20 +186,28 @@ def buckets(classes: DataFrame, threshold: float) -> DataFrame:
     """(bucket, set): the small buckets of all runs, each membership once."""
     rows = staged(_sized(_paths(classes, runs_needed(threshold))), "paths")
     small = (F.col("members") <= LARGE) & (F.col("weight") <= HEAVY)
-    leaves = [rows.where(small)]
+    leaves, dense, large = [rows.where(small)], [], rows.where(~small)
     for _ in range(DEPTH, DEEPEST):
-        large = rows.where(~small)
         if large.isEmpty():
             break
-        rows = staged(_sized(_next_level(large, classes)), "paths")
+        below = staged(_next_level(large, classes), "paths")
+        sizes = below.groupBy("parent", "node").agg(F.count(F.lit(1)).alias("members"), F.first("above").alias("above"))
+        # The share of its members that a member meets again in a child is their mean similarity.
+        alike = sizes.groupBy("parent").agg((F.sum(F.col("members") * F.col("members")) / F.sum("members") / F.first("above")).alias("alike"))
+        alike = staged(alike.where(F.col("alike") >= LAMBDA).select(F.col("parent").alias("node")), "alike")
+        dense.append(large.join(alike, "node", "left_semi"))
+        rows = staged(_sized(below.join(alike.withColumnRenamed("node", "parent"), "parent", "left_anti").select("node", "set", "n")), "paths")
         leaves.append(rows.where(small))
+        large = rows.where(~small)
+    rest = large
+    for more in dense:
+        rest = rest.unionByName(more)
     listed = leaves[0]
     for leaf in leaves[1:]:
         listed = listed.unionByName(leaf)
     # Buckets with the same members are one; pairs of copies meet in most runs.
     grouped = listed.groupBy("node").agg(F.sort_array(F.collect_list("set")).alias("sets"))
     made = grouped.select(F.xxhash64("sets").alias("bucket"), "sets").dropDuplicates(["bucket"]).select("bucket", F.explode("sets").alias("set"))
-    rest = rows.where(~small)
     if not rest.isEmpty():
         blocks = F.ceil(F.greatest(F.col("members") / (LARGE // 2), F.col("weight") / (HEAVY // 2))).cast("int")
         own = F.pmod(F.xxhash64("set", F.lit(5)), F.col("blocks")).cast("int")
@@ -218,7 +231,7 @@ def similar(arrays: list[np.ndarray], threshold: float) -> np.ndarray:
             part[i, place[a:b] - start] = 1
         inter += part @ part.T
     union = sizes[:, None] + sizes[None, :] - inter
-    return (inter / union >= np.float32(threshold) - np.float32(1e-6)) & ~np.eye(len(arrays), dtype=bool)
+    return (inter.astype(np.float64) / union >= threshold - 1e-12) & ~np.eye(len(arrays), dtype=bool)
 
 
 def _brute(threshold: float):
@@ -316,15 +329,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of rows with that id one row stays; rows that stand alone stay all.
     """
     linked = join(docs, id_col, text_col, **options).where(col(id_col).isNotNull())
-    doomed = linked.where((col(id_col) != F.col("class_id"))).select(col(id_col).alias("gone"), "set").distinct()
-    mark = free_name(docs, "set_of_text")
+    gone, gone_set, mark = (free_name(docs, name) for name in ("gone", "gone_set", "set_of_text"))
+    doomed = linked.where(col(id_col) != F.col("class_id")).select(col(id_col).alias(gone), F.col("set").alias(gone_set)).distinct()
 
     def run(texts: list) -> list[int | None]:
         return [set_id(shingles(text, options.get("width", WIDTH))) for text in texts]
 
     marked = with_values(docs, text_col, mark, "bigint", pa.int64(), run, rows=64)
-    condition = (col(id_col) == F.col("gone")) & (col(mark) == F.col("set"))
-    kept = marked.join(doomed, condition, "left_anti")
+    kept = marked.join(doomed, (col(id_col) == col(gone)) & (col(mark) == col(gone_set)), "left_anti")
     place = free_name(docs, "place_of_row")
     order = W.partitionBy(col(id_col), col(mark), F.when(col(mark).isNull() | col(id_col).isNull(), F.monotonically_increasing_id())).orderBy(F.xxhash64(col(text_col)))
     return kept.withColumn(place, F.row_number().over(order)).where(col(place) == 1).select(*[col(c) for c in docs.columns])
