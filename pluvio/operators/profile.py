@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pluvio import schema as S
 from pluvio.functions.numeric import half_up_ratio, or_zero, total
-from pluvio.operators.quantiles import Quantile, ranked, value_counts
+from pluvio.operators.quantiles import Quantile, ranked, scale_of, value_counts
 
 QUARTILES = [Quantile("p25", 0.25), Quantile("p50", 0.5), Quantile("p75", 0.75)]
 QUARTILE_NAMES = [q.name for q in QUARTILES]
@@ -45,6 +45,7 @@ def overview(observations: DataFrame) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> list[tuple[str, str]]:
+    """Name and type of every column; read from the plan, without a job."""
     return df.dtypes
 
 
@@ -92,23 +93,24 @@ def histogram(df: DataFrame, measures: Sequence[str], bins: int = 50) -> DataFra
     """Equal-width bins per measure, empty bins included.
 
     A bin holds its lower edge; the last bin holds both edges. Positions are
-    computed in whole hundredths, so an edge value never slips. A measure with
-    a single value lies in the middle of a bin range one unit wide.
+    computed in whole steps of the measures' scale, so an edge value never slips.
+    A measure with a single value lies in the middle of a bin range one unit wide.
+    One pass finds the extremes, one row per measure, and one fills the bins; both
+    are combined before the shuffle.
     """
-    whole = Window.partitionBy("variavel")
-    low = (F.min("valor").over(whole) * 100).cast("bigint")
-    high = (F.max("valor").over(whole) * 100).cast("bigint")
-    spare = F.when(F.col("_hi") == F.col("_lo"), 50).otherwise(0)
+    scale = max(scale_of(df, measures), 1)
+    unit = 10**scale
+    typed = df.select(*[(F.col(m).cast(f"decimal(28,{scale})") * unit).cast("bigint").alias(m) for m in measures])
+    values = typed.unpivot([], list(measures), "variavel", "_at").where(F.col("_at").isNotNull())
+    ends = values.groupBy("variavel").agg(F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
+    spare = F.when(F.col("_hi") == F.col("_lo"), unit // 2).otherwise(0)
+    ends = ends.select("variavel", (F.col("_lo") - spare).alias("_lo"), (F.col("_hi") + spare).alias("_hi"))
     width = F.col("_hi") - F.col("_lo")
-    rows = (
-        value_counts(df, measures)
-        .withColumns({"_lo": low, "_hi": high})
-        .where(F.col("valor").isNotNull())
-        .withColumns({"_lo": F.col("_lo") - spare, "_hi": F.col("_hi") + spare})
-    )
-    at = (F.col("valor") * 100).cast("bigint") - F.col("_lo")
-    place = F.least(F.call_function("div", at * bins, width), F.lit(bins - 1).cast("bigint"))
-    filled = rows.groupBy("variavel", "_lo", "_hi", place.alias("faixa")).agg(F.sum("n").alias("n"))
+    # One row per named measure is broadcast.
+    rows = values.join(F.broadcast(ends), "variavel")
+    share = ((F.col("_at") - F.col("_lo")).cast("decimal(20,0)") * bins, width.cast("decimal(20,0)"))
+    place = F.least(F.call_function("div", *share), F.lit(bins - 1).cast("bigint"))
+    filled = rows.groupBy("variavel", "_lo", "_hi", place.alias("faixa")).agg(F.count("*").alias("n"))
     # At most ``bins`` entries per measure meet here.
     per_measure = filled.groupBy("variavel", "_lo", "_hi").agg(
         F.map_from_entries(F.collect_list(F.struct("faixa", "n"))).alias("_filled")
@@ -116,7 +118,7 @@ def histogram(df: DataFrame, measures: Sequence[str], bins: int = 50) -> DataFra
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))
 
     def edge(index: Column) -> Column:
-        return (F.col("_lo") * bins + index * width).cast("double") / (100 * bins)
+        return (F.col("_lo") * bins + index * width).cast("double") / (unit * bins)
 
     return per_measure.withColumn("faixa", F.explode(every)).select(
         "variavel",

@@ -1,4 +1,4 @@
-"""Exact distributions of two-decimal measures in one pass over the rows.
+"""Exact distributions of measures in one pass over the rows.
 
 Rows are first counted per group and value, which is combined before the
 shuffle, so a value or a group that holds most of the rows costs no more than
@@ -6,6 +6,9 @@ any other. Everything else works on those counts: a running count in value
 order tells which value holds a position. What meets in one task is the
 distinct values of one measure in one group, never its rows; the column type
 bounds them (200,000 for ``decimal(5,2)``), and the window streams and spills.
+
+Values keep the scale of their columns: the largest one among the measures, ten
+places for binary floating point.
 """
 
 from __future__ import annotations
@@ -14,8 +17,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 
-VALUE_TYPE = "decimal(18,2)"
+def scale_of(df: DataFrame, measures: Sequence[str]) -> int:
+    """Decimal places that hold every value of the measures."""
+    kinds = [df.schema[m].dataType for m in measures]
+    places = [k.scale if isinstance(k, T.DecimalType) else 10 if isinstance(k, T.FractionalType) else 0 for k in kinds]
+    return max(places)
 
 
 def value_counts(
@@ -27,7 +36,8 @@ def value_counts(
     place. ``overall`` names a flag column; rows where it is true count all
     groups taken together.
     """
-    typed = df.select(*groups, *[F.col(m).cast(VALUE_TYPE).alias(m) for m in measures])
+    kind = f"decimal(28,{scale_of(df, measures)})"
+    typed = df.select(*groups, *[F.col(m).cast(kind).alias(m) for m in measures])
     counts = (
         typed.unpivot(list(groups), list(measures), "variavel", "valor")
         .groupBy(*groups, "variavel", "valor")
@@ -44,11 +54,15 @@ def value_counts(
 
 
 def ranked(counts: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
-    """Add ``_n``, rows with a value, ``_until``, their running sum, and ``_total``."""
+    """Add ``_n``, rows with a value, ``_until``, their running sum, ``_total``, and ``_unit``.
+
+    ``_unit`` is how many of the smallest steps of ``valor`` make one.
+    """
+    unit = 10 ** counts.schema["valor"].dataType.scale
     whole = Window.partitionBy(*groups, "variavel")
     up_to = whole.orderBy("valor").rowsBetween(Window.unboundedPreceding, 0)
     rows = F.when(F.col("valor").isNotNull(), F.col("n")).otherwise(0)
-    return counts.withColumn("_n", rows).withColumns(
+    return counts.withColumns({"_n": rows, "_unit": F.lit(unit)}).withColumns(
         {"_until": F.sum("_n").over(up_to), "_total": F.sum("_n").over(whole)}
     )
 
@@ -60,16 +74,16 @@ class Quantile:
         self.name, self.probability = name, probability
 
     def _at(self, rank: Column) -> Column:
-        """The value in hundredths on the row that holds a zero-based rank."""
+        """The value in smallest steps on the row that holds a zero-based rank."""
         holds = (rank >= F.col("_until") - F.col("_n")) & (rank < F.col("_until"))
-        return F.when(holds, (F.col("valor") * 100).cast("double"))
+        return F.when(holds, (F.col("valor") * F.col("_unit")).cast("double"))
 
     def result(self, gather: Callable[[Column], Column] = F.max) -> Column:
         """The quantile; ``gather`` takes the one value that is not NULL."""
         position = F.lit(self.probability) * (F.col("_total") - 1)
         low, high = gather(self._at(F.floor(position))), gather(self._at(F.ceil(position)))
         place = F.lit(self.probability) * (gather(F.col("_total")) - 1)
-        return ((low + (high - low) * (place - F.floor(place))) / 100).alias(self.name)
+        return ((low + (high - low) * (place - F.floor(place))) / gather(F.col("_unit"))).alias(self.name)
 
 
 def quantiles_of(counts: DataFrame, probabilities: dict[str, float], groups: Sequence[str] = ()) -> DataFrame:

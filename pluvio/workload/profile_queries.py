@@ -9,18 +9,15 @@ from pluvio import schema as S
 from pluvio.operators import impute, profile, quantiles
 from pluvio.sources import extracts
 from pluvio.workload import mapping
+from pluvio.workload import predictions as pred_map
 from pluvio.workload.common import Query, avg, dbl, est, obs, sql, text
 
 P = "precipitacao_mm"
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def cents(column: str) -> str:
-    return f"CAST(CAST({column} * 100 AS BIGINT) AS DOUBLE)"
-
-
-def quantile(column: str, p: float) -> str:
-    return f"(quantile_cont({cents(column)}, {p}) / 100)"
+def quantile(column: str, p: float, unit: int = 100) -> str:
+    return f"(quantile_cont(CAST(CAST({column} * {unit} AS BIGINT) AS DOUBLE), {p}) / {unit})"
 
 
 def union(parts: list[str]) -> str:
@@ -31,12 +28,12 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def _describe_sql(columns: list[str], source: str) -> str:
+def _describe_sql(columns: list[str], source: str, unit: int = 100) -> str:
     return union(
         [
             f"""SELECT '{c}' AS variavel, COUNT({c}) AS contagem, {avg(c)} AS media,
-  round(stddev_samp({dbl(c)}), 6) AS desvio, {dbl(f'MIN({c})')} AS minimo, {quantile(c, 0.25)} AS p25,
-  {quantile(c, 0.5)} AS p50, {quantile(c, 0.75)} AS p75, {dbl(f'MAX({c})')} AS maximo FROM {source}"""
+  round(stddev_samp({dbl(c)}), 6) AS desvio, {dbl(f'MIN({c})')} AS minimo, {quantile(c, 0.25, unit)} AS p25,
+  {quantile(c, 0.5, unit)} AS p50, {quantile(c, 0.75, unit)} AS p75, {dbl(f'MAX({c})')} AS maximo FROM {source}"""
             for c in columns
         ]
     )
@@ -67,6 +64,15 @@ WHERE {c} IS NOT NULL GROUP BY p25, p50, p75"""
 MISSING = [*S.MEASURES, "intensidade_chuva"]
 LINE_CTE = "WITH li AS (SELECT " + ", ".join(f"CAST({c} AS DECIMAL(18,2)) AS {c}" for c in LINE) + " FROM lineitem)\n"
 FILLED = S.MEDIAN_FILLED
+PROBABILITIES = [f"probabilidade_{c}" for c in pred_map.PROBABILITIES]
+
+
+def _line(spark, folder):
+    """The line items' amounts as the decimals they are."""
+    line = mapping.load(spark, folder, "lineitem")["lineitem"]
+    return line.select(*[F.col(c).cast("decimal(18,2)").alias(c) for c in LINE])
+
+
 TRAINING = [f for f in S.FEATURES if f in S.MEASURES]
 
 QUERIES = {
@@ -138,9 +144,13 @@ GROUP BY e.codigo_wmo, e.nome, e.uf"""),
         lambda s, d: _rounded(profile.describe(obs(s, d)), "desvio"), sql(_describe_sql(S.DESCRIBED, "obs"))
     ),
     "dq08_describe_lineitem": Query(
-        lambda s, d: _rounded(profile.describe(mapping.load(s, d, "lineitem")["lineitem"], LINE), "desvio"),
+        lambda s, d: _rounded(profile.describe(_line(s, d), LINE), "desvio"),
         LINE_CTE + _describe_sql(LINE, "li"),
     ),
+    "dq08_describe_probabilities": Query(
+        lambda s, d: _rounded(profile.describe(pred_map.predictions(s, d), PROBABILITIES), "desvio"),
+        sql(_describe_sql(PROBABILITIES, "pred", 10_000), extra=pred_map.CTE),
+    ),
     "dq09_precipitation_summary": Query(
         lambda s, d: _rounded(profile.precipitation_summary(obs(s, d)), "desvio"),
         sql(f"""SELECT {avg(P)} AS media, {quantile(P, 0.5)} AS mediana, {dbl(f'MAX({P})')} AS maximo,
@@ -151,8 +161,8 @@ GROUP BY e.codigo_wmo, e.nome, e.uf"""),
         lambda s, d: profile.histogram(obs(s, d), S.DESCRIBED, 50), sql(_histogram_sql(S.DESCRIBED, 50, "obs"))
     ),
     "dq10_histogram_lineitem": Query(
-        lambda s, d: profile.histogram(mapping.load(s, d, "lineitem")["lineitem"], LINE[:2], 100),
-        LINE_CTE + _histogram_sql(LINE[:2], 100, "li"),
+        lambda s, d: profile.histogram(_line(s, d), LINE, 100),
+        LINE_CTE + _histogram_sql(LINE, 100, "li"),
     ),
     "dq11_box_plot": Query(lambda s, d: profile.box_plot(obs(s, d)), sql(_box_sql(P))),
     "dq12_monthly_precipitation": Query(
