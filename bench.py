@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pluvio.session import build_session
@@ -39,6 +40,7 @@ HEADLINE = [
     "dq10_histogram_lineitem",
     "wn01_running_total",
     "src11_bounded_points",
+    "src02_station_file_rows",
     "src13_analysis_rows",
     "src16_training_rows",
     "nb05_wide_records",
@@ -57,6 +59,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

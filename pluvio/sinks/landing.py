@@ -28,13 +28,15 @@ def prediction_rows(scored: DataFrame, now: Moment) -> DataFrame:
     """Scored rows in the layout of the prediction log.
 
     ``timestamp_utc`` is the time of the observation and ``created_at`` the
-    time of scoring.
+    time of scoring. The id covers the observation's id where the rows have one,
+    so two rows of one station and time stay apart.
     """
     present = set(scored.columns)
     columns = []
     for field in S.PREDICTIONS:
         if field.name == "id":
-            column = F.xxhash64("codigo_wmo", "timestamp_utc", "modelo_usado", moment(now))
+            own = [F.col("id")] if "id" in present else []
+            column = F.xxhash64("codigo_wmo", "timestamp_utc", "modelo_usado", moment(now), *own)
         elif field.name == "created_at":
             column = moment(now)
         elif field.name in present:
