@@ -187,6 +187,8 @@ class Pooler:
                 self.known.update(zip(part, range(first, first + len(part))))
 
     def predict(self, texts: list[str | None]) -> list[dict]:
+        if not self.network.languages:
+            return [{"lang_pred": "und", "score": 0.0} for _ in texts]
         if len(self.known) > MEMORY:
             self.forget()
         cut = [pieces(text) for text in texts]
@@ -194,7 +196,7 @@ class Pooler:
         self.learn(new)
         made = []
         for text, found in zip(texts, cut):
-            if not text or not any(map(str.isalpha, text)) or not self.network.languages:
+            if not text or not any(map(str.isalpha, text)):
                 made.append({"lang_pred": "und", "score": 0.0})
                 continue
             total = self.sums[list(map(self.known.__getitem__, found))].sum(0, dtype=np.float64)

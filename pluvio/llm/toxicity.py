@@ -40,8 +40,8 @@ EXAMPLES = 4000
 TERMS = 1024
 K = 15
 BLOCK = 64
-#: G-squared beyond this is less likely than one in a million by chance.
-SIGNIFICANT = 24.0
+#: G-squared beyond this is by chance as unlikely as one in ten thousand.
+SIGNIFICANT = 15.0
 LIFT = 3.0
 MEMORY = 500_000
 _WORD = re.compile(r"[^\W\d_]+")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pluvio.llm import language, queries, toxicity
 
-MIDDLE = "/root/testdata/sf0.01"
+MIDDLE, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 
 def test_nearest_examples_are_exact():
@@ -36,14 +36,14 @@ def test_nearest_examples_are_exact():
 
 
 def test_toxicity_held_out(spark):
-    scored = queries.op6_toxicity(spark, MIDDLE)
+    scored = queries.op6_toxicity(spark, LARGER)
     assert scored.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
-    rows = scored.join(spark.read.parquet(f"{MIDDLE}/labels.parquet"), "doc_id").collect()
+    rows = scored.join(spark.read.parquet(f"{LARGER}/labels.parquet"), "doc_id").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
     clean = [r.score for r in rows if r.held_out and not r.toxic]
     toxic = [r.score for r in rows if r.held_out and r.toxic]
-    above = np.mean([[t > c for c in clean] for t in toxic])
-    assert above > 0.75 and np.mean([c >= 0.5 for c in clean]) < 0.05
+    above = np.mean([[(t > c) + (t == c) / 2 for c in clean] for t in toxic])
+    assert above > 0.95 and np.mean([t >= 0.5 for t in toxic]) > 0.85 and np.mean([c >= 0.5 for c in clean]) < 0.02
 
 
 def test_toxicity_awkward(spark, awkward, no_docs):
