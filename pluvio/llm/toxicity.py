@@ -139,6 +139,19 @@ def count_terms(docs: DataFrame, vocabulary: list[str], text_col: str, as_col: s
     return with_values(docs, text_col, as_col, "struct<term:array<int>, n:array<int>>", kind, run)
 
 
+def document_frequency(counted: DataFrame) -> DataFrame:
+    """(term, n) over all rows with ``counts``, added up in the tasks before they meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[int] = Counter()
+        for batch in batches:
+            seen.update(batch.column(0).flatten().to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+
+    parts = counted.select(F.col("counts.term").alias("term")).mapInArrow(run, "term int, n bigint")
+    return parts.groupBy("term").agg(F.sum("n").alias("n"))
+
+
 class Index:
     """The examples' inverted index with the largest weight of each term in each block."""
 
@@ -202,7 +215,7 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, as_col: str = "toxi
     sampled = rows.join(F.broadcast(picked), "id").select("text", "label")  # at most 2 * EXAMPLES ids
     vocabulary = select_terms(sampled)
     counted = staged(count_terms(rows, vocabulary, "text", "counts").select("id", "counts"), "term-counts")
-    frequency = counted.select(F.explode("counts.term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
+    frequency = document_frequency(counted).collect()  # at most TERMS rows
     total = counted.count()
     idf = np.zeros(max(1, len(vocabulary)))
     for r in frequency:
