@@ -376,7 +376,10 @@ def node_labels(page: Page, truth: list[bool]) -> tuple[np.ndarray, np.ndarray]:
 def fit(pages: DataFrame, html_col: str = "html") -> Trees:
     """Trees from a bounded sample of pages, drawn by hash."""
     usable = pages.select(col(html_col).alias("html")).where("html is not null and html != ''").where(F.octet_length("html") <= LONGEST)
-    rows = usable.orderBy(F.xxhash64(F.lit(29), "html"), "html").limit(PAGES).collect()
+    # Three times as many as wanted are drawn by hash, so the tasks send few pages to be ordered.
+    draw, parts = F.pmod(F.xxhash64(F.lit(29), "html"), F.lit(1 << 30)), 1 << 30
+    drawn = usable.where(draw < min(parts, 3 * PAGES * parts // max(1, usable.count()))).distinct()
+    rows = drawn.orderBy(draw, "html").limit(PAGES).collect()
     draw = random.Random(13)
     read = [Page(r["html"]) for r in rows]
     labelled = [(page, truth) for page in read if (truth := semantic(page)) is not None]

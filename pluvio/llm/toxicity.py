@@ -73,7 +73,10 @@ def examples(labels: DataFrame, learn: Column, id_col: str, label_col: str, limi
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen: dict[object, int] = {}
     for label in counts:
-        rows = known.where(F.col("label") == label).orderBy(F.xxhash64(F.lit(17), "id"), "id").limit(limit).collect()
+        # A quarter more than wanted are drawn by hash, so the tasks send few ids to be ordered.
+        draw, parts = F.pmod(F.xxhash64(F.lit(17), "id"), F.lit(1 << 30)), 1 << 30
+        drawn = known.where((F.col("label") == label) & (draw < min(parts, (limit + limit // 4 + 100) * parts // counts[label])))
+        rows = drawn.orderBy(draw, "id").limit(limit).collect()
         chosen |= {r["id"]: label for r in rows}
     return chosen, {label: n / min(n, limit) for label, n in counts.items()}
 
