@@ -1,12 +1,25 @@
 """Quality by the perplexity of a modified Kneser-Ney model of trusted text.
 
-The model is an interpolated 4-gram model over characters, folded into ``64``
-symbols: letters by case, digits, white space, and a few kinds of signs, so that
-the space of n-grams has a fixed size of 2**24 and the finished model can be
-broadcast whatever the corpus. Counts come from all trusted documents: tasks
-count their share, and counts meet sharded by n-gram. Continuation counts,
-context totals, discounts and the interpolation with the next shorter order are
-joins and aggregates of these sharded tables.
+The model is an interpolated n-gram model over characters as they are written, in
+any script, up to ``LONGEST`` characters: nothing is folded, no n-gram is left out,
+and its tables grow with the trusted text. Below them stands a 4-gram model over
+``64`` symbols, into which characters are folded by case and kind: it says how
+likely an n-gram is that trusted text does not have, and a character's share of
+its symbol tells it from the others. A character new to the model counts as its
+symbol, so that a script which trusted text lacks is no evidence of junk.
+
+Counts come from all trusted documents: tasks count their share, and counts meet
+sharded by n-gram. Continuation counts, context totals, discounts and the
+interpolation with the next shorter order are joins and aggregates of these
+sharded tables. An n-gram's entry in the finished model is how far it moves the
+log probability from that of the next shorter one, a context's is its back-off
+weight. A text's log probability is thus that of its symbols plus the entries of
+its n-grams and contexts, so that one join and one sum score it. The ``HOT``
+entries that trusted text needs most often go to every task, which keeps them out
+of the join; a document's other n-grams are counted in the document and joined to
+the sharded rest. Values are sums of integers (``UNIT``), so results depend neither
+on this split nor on partitions. Documents meet their sums by a 64-bit hash of the
+text.
 
 Trusted documents of one fold are left out of the counts. Their perplexities,
 those of unseen clean text, give every language its threshold: the ``QUANTILE``
@@ -26,6 +39,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -34,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pluvio.llm.common import col, free_name, staged, with_values
+from pluvio.llm.common import by_slices, col, free_name, staged, with_values
 
 ORDER, BITS = 4, 6
 SYMBOLS = 1 << BITS
@@ -42,6 +56,13 @@ QUANTILE = 0.995
 SLACK = 0.1
 PRIOR = 40
 ENOUGH = 200
+#: Orders over exact characters, above the symbols'.
+EXACT = (5, 6)
+LONGEST = EXACT[-1]
+#: So many entries at most (16 MB) are sent to every task; a split of the work, not of the model.
+HOT = 1_000_000
+#: Model entries are whole multiples of one part in so many.
+UNIT = 1_000_000
 #: So many trusted ids at most (some 16 MB) are sent to every task; more are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 #: Thresholds are found on a grid of log perplexities this fine.
@@ -81,11 +102,15 @@ def _symbols() -> np.ndarray:
     return table
 
 
+def _fold(points: np.ndarray) -> np.ndarray:
+    return np.where(points < (1 << 16), _symbols()[np.minimum(points, 0xFFFF)], 63).astype(np.int32)
+
+
 def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Every character's 4-gram, and where each text's begin (with the end behind the last)."""
     padded = ("\0" * (ORDER - 1)).join(["", *[t or "" for t in texts]])
     points = np.frombuffer(padded.encode("utf-32-le", "replace"), np.uint32)
-    codes = np.where(points < (1 << 16), _symbols()[np.minimum(points, 0xFFFF)], 63).astype(np.int32)
+    codes = _fold(points)
     lengths = np.array([len(t or "") for t in texts], np.int64)
     starts = np.cumsum(lengths + ORDER - 1) - lengths
     inside = np.ones(len(codes), bool)
@@ -189,18 +214,226 @@ def dense(tables: dict[str, np.ndarray]) -> np.ndarray:
 _DENSE: dict = {}
 
 
-def log_perplexity(docs: DataFrame, tables: dict[str, np.ndarray], text_col: str, as_col: str) -> DataFrame:
-    """The documents with ``as_col``, nats a character over the whole text; null without characters."""
-    shipped = docs.sparkSession.sparkContext.broadcast(tables)
+def shares(texts: DataFrame) -> dict[str, np.ndarray]:
+    """Characters and the log of their share of their symbol; there are no more rows than code points."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(0x110000, np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                text = "".join(t or "" for t in batch.column(0).slice(start, 256).to_pylist())
+                n += np.bincount(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), minlength=len(n))
+        seen = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(n[seen])], ["point", "n"])
+
+    rows = texts.mapInArrow(run, "point bigint, n bigint").groupBy("point").agg(F.sum("n").alias("n")).orderBy("point").toArrow()
+    point, n = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    symbol = _fold(point)
+    total = np.bincount(symbol, n, minlength=SYMBOLS)
+    return {"point": point, "share": np.log(n / total[symbol])}
+
+
+def base(texts: list[str | None], tables: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """In parts of ``UNIT``: every character's log probability by symbols, and where each text's begin."""
+    if _DENSE.get("for") is not tables:
+        share = np.zeros(0x110000, np.int32)
+        share[tables["point"]] = np.rint(tables["share"] * UNIT)
+        _DENSE.update({"for": tables, "log": np.rint(dense(tables).astype(np.float64) * UNIT).astype(np.int32), "share": share})
+    gram, ends = grams(texts)
+    points = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return _DENSE["log"][gram].astype(np.int64) + _DENSE["share"][points], ends
+
+
+def exact_grams(texts: list[str | None]) -> dict[str, np.ndarray]:
+    """Numbers of the n-gram that ends with each character (``g5``, ...) and of its context (``c5``, ...)."""
+    pad = LONGEST - 1
+    padded = ("\0" * pad).join(["", *[t or "" for t in texts]])
+    points = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    lengths = np.array([len(t or "") for t in texts], np.int64)
+    starts = np.cumsum(lengths + pad) - lengths
+    inside = np.ones(len(points), bool)
+    for k in range(pad):
+        points[starts - 1 - k], inside[starts - 1 - k] = 0, False
+    inside = np.flatnonzero(inside)
+    made: dict[str, np.ndarray] = {}
+    for order in EXACT:
+        x = np.full(len(inside), order << 40, np.uint64)  # far from any code point
+        for k in range(order - 1, -1, -1):
+            if not k:
+                made[f"c{order}"] = x.view(np.int64)
+            x = (x ^ points[inside - k]) * np.uint64(0x9E3779B97F4A7C15)
+            x ^= x >> np.uint64(29)
+        made[f"g{order}"] = x.view(np.int64)
+    return made
+
 
-    def run(texts: list) -> list[float | None]:
-        if _DENSE.get("for") is not shipped.value:
-            _DENSE.update({"for": shipped.value, "log": dense(shipped.value)})
-        gram, ends = grams(texts)
-        sums = np.concatenate([[0.0], np.cumsum(_DENSE["log"][gram], dtype=np.float64)])
-        return [float((sums[a] - sums[b]) / (b - a)) if b > a else None for a, b in zip(ends[:-1], ends[1:])]
+_NUMBERS = [f"{kind}{order}" for order in EXACT for kind in "gc"]
 
-    return with_values(docs, text_col, as_col, "double", pa.float64(), run, rows=64)
+
+def exact_counts(texts: DataFrame, tables: dict[str, np.ndarray]) -> DataFrame:
+    """Numbers of all n-grams of ``LONGEST`` characters, of their shorter ones and of the contexts, ``n``, and what the symbols say."""
+    shipped = texts.sparkSession.sparkContext.broadcast(tables)
+    columns = [*_NUMBERS, "n", "base"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+
+        def merged(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+            every = {c: np.concatenate([p[c] for p in parts]) for c in columns}
+            _, place, back = np.unique(every[f"g{LONGEST}"], return_index=True, return_inverse=True)
+            return {c: every[c][place] for c in columns} | {"n": np.bincount(back, every["n"]).astype(np.int64)}
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                some = batch.column(0).slice(start, 256).to_pylist()
+                made = exact_grams(some) | {"base": base(some, shipped.value)[0]}
+                parts.append(merged([made | {"n": np.ones(len(made["base"]), np.int64)}]))
+                held += len(parts[-1]["n"])
+                if held > 2_000_000:
+                    parts = [merged(parts)]
+                    held = len(parts[0]["n"])
+                    if held > 1_000_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(parts[0][c], pa.int64()) for c in columns], columns)
+                        parts, held = [], 0
+        if parts:
+            whole = merged(parts)
+            yield pa.RecordBatch.from_arrays([pa.array(whole[c], pa.int64()) for c in columns], columns)
+
+    found = texts.mapInArrow(run, ", ".join(f"{c} bigint" for c in columns))
+    others = [F.first(c).alias(c) for c in columns if c not in ("n", f"g{LONGEST}")]
+    return found.groupBy(f"g{LONGEST}").agg(F.sum("n").alias("n"), *others)
+
+
+@dataclass
+class Exact:
+    """The finished model: symbols' tables, the most needed entries, and the sharded rest if there is any."""
+
+    tables: dict[str, np.ndarray]
+    keys: np.ndarray
+    entries: np.ndarray
+    rest: DataFrame | None
+
+
+def exact_model(texts: DataFrame, tables: dict[str, np.ndarray], hot: int | None = None) -> Exact:
+    """The interpolated model of the ``EXACT`` orders above the symbols'."""
+    hot = HOT if hot is None else hot
+    tables = tables | shares(texts)
+    whole = lambda x: F.round(x * UNIT).cast("bigint")
+    counted = {LONGEST: staged(exact_counts(texts, tables).withColumn("often", F.col("n")), f"exact-{LONGEST}")}
+    for order in EXACT[-2::-1]:
+        kept = [c for c in counted[order + 1].columns if c not in ("n", "often", f"g{order}", f"g{order + 1}", f"c{order + 1}")]
+        shorter = counted[order + 1].groupBy(f"g{order}")
+        counted[order] = staged(shorter.agg(F.count(F.lit(1)).alias("n"), F.sum("often").alias("often"), *[F.first(c).alias(c) for c in kept]), f"exact-{order}")
+    made, lower = [], None
+    for order in EXACT:
+        g, c, d = f"g{order}", f"c{order}", _discounts(counted[order])
+        off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+        contexts = staged(counted[order].groupBy(c).agg(F.sum("n").alias("total"), F.sum("often").alias("uses"), (F.sum(off) / F.sum("n")).alias("weight")), f"contexts-{order}")
+        joined = counted[order].join(contexts, c)
+        if lower is None:
+            joined = joined.withColumn("shorter", F.exp(F.col("base") / F.lit(UNIT)))
+        else:
+            joined = joined.join(lower, f"g{order - 1}")
+        seen = staged(joined.withColumn("p", (F.col("n") - off) / F.col("total") + F.col("weight") * F.col("shorter")), f"chances-{order}")
+        moved = F.log("p") - F.log("weight") - F.log("shorter")
+        made.append(seen.select(F.col(g).alias("key"), "often", whole(moved).alias("entry")))
+        made.append(contexts.select(F.col(c).alias("key"), F.col("uses").alias("often"), whole(F.log("weight")).alias("entry")))
+        lower = seen.select(g, F.col("p").alias("shorter"))
+    # Contexts of one order and n-grams of another have numbers of their own, as the order is in them.
+    entries = made[0]
+    for more in made[1:]:
+        entries = entries.unionByName(more)
+    entries = staged(entries, "model")
+    # The least use an entry must have for all such entries to be within ``hot``.
+    least, held = None, 0
+    for r in entries.groupBy("often").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("often")).toLocalIterator():
+        held += r["n"]
+        if held > hot:
+            break
+        least = r["often"]
+    needed = F.col("often") >= F.lit(least) if least is not None else F.lit(False)
+    chosen = entries.where(needed).select("key", "entry").toArrow()
+    rest = entries.where(~needed).select("key", "entry") if held > hot else None
+    return Exact(tables, chosen.column(0).to_numpy(), chosen.column(1).to_numpy(), rest)
+
+
+class Hot:
+    """A look-up of numbers: a table of slots, and those whose slot is taken in order."""
+
+    def __init__(self, keys: np.ndarray, entries: np.ndarray):
+        slots = 1 << max(4, int(4 * len(keys)).bit_length())
+        self.mask, self.keys, self.entries = np.int64(slots - 1), np.zeros(slots, np.int64), np.zeros(slots, np.int64)
+        self.keys[keys & self.mask], self.entries[keys & self.mask] = keys, entries
+        other = np.flatnonzero(self.keys[keys & self.mask] != keys)
+        other = other[np.argsort(keys[other])]
+        self.more, self.more_entries = keys[other], entries[other]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The entries, zero where there is none, and whether there is one."""
+        slot = keys & self.mask
+        hit = (self.keys[slot] == keys) & (keys != 0)
+        found = np.where(hit, self.entries[slot], 0)
+        if len(self.more):
+            left = np.flatnonzero(~hit)
+            place = np.minimum(np.searchsorted(self.more, keys[left]), len(self.more) - 1)
+            there = self.more[place] == keys[left]
+            found[left[there]], hit[left[there]] = self.more_entries[place[there]], True
+        return found, hit
+
+
+def log_perplexity(docs: DataFrame, model: Exact, text_col: str, as_col: str) -> DataFrame:
+    """The documents with ``as_col``, nats a character over the whole text; null without characters."""
+    shipped = docs.sparkSession.sparkContext.broadcast((model.tables, model.keys, model.entries))
+    state: dict = {}
+
+    def sums(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every text's sum without the rest, and the places and n-grams that the rest may have."""
+        if "hot" not in state:
+            state["hot"] = Hot(*shipped.value[1:])
+        value, ends = base(texts, shipped.value[0])
+        place = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(ends))
+        left = []
+        for keys in exact_grams(texts).values():
+            found, hit = state["hot"].find(keys)
+            value += found
+            left.append((place[~hit], keys[~hit]))
+        total = np.concatenate([[0], np.cumsum(value)])
+        return total[ends[1:]] - total[ends[:-1]], *(np.concatenate(x) for x in zip(*left))
+
+    def alone(texts: list) -> list[float | None]:
+        return [-int(s) / UNIT / len(t) if t else None for t, s in zip(texts, sums(texts)[0])]
+
+    if model.rest is None:
+        return with_values(docs, text_col, as_col, "double", pa.float64(), alone, rows=64)
+
+    def exploded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """A row per text with its sum, and a row per text and other n-gram with its count."""
+        number = batch.column(0).to_numpy()
+        made, place, key = sums(batch.column(1).to_pylist())
+        order = np.lexsort((key, place))
+        place, key = place[order], key[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1])
+        starts = np.flatnonzero(new)
+        n = np.diff(starts, append=len(key))
+        columns = [
+            pa.array(np.concatenate([number, number[place[starts]]])), pa.array(np.concatenate([number, key[starts]])),
+            pa.array(np.concatenate([np.zeros(len(number), np.int64), n])), pa.array([*made.tolist(), *[None] * len(starts)], pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["of", "key", "n", "sum"])
+
+    of = F.xxhash64(col(text_col))
+    texts = docs.where(F.char_length(col(text_col)) > 0).select(of.alias("of"), col(text_col).alias("text"))
+    rows = texts.mapInArrow(by_slices(exploded, 64), "of bigint, key bigint, n bigint, sum bigint")
+    hits = rows.join(model.rest, "key", "left").where("sum is not null or entry is not null")
+    # Copies of a text each bring the same rows.
+    wide = lambda x: F.sum(x.cast("decimal(28,0)"))
+    total = (wide(F.col("sum")) + F.coalesce(wide(F.when(F.col("sum").isNull(), F.col("n") * F.col("entry"))), F.lit(0))) / F.count("sum")
+    by_text = hits.groupBy("of").agg(total.cast("double").alias("total_"))
+    key, total = free_name(docs, "of_"), free_name(docs, "total_")
+    by_text = by_text.select(F.col("of").alias(key), F.col("total_").alias(total))
+    chars = F.nullif(F.char_length(col(text_col)), F.lit(0))
+    return docs.withColumn(key, of).join(by_text, key, "left").withColumn(as_col, -col(total) / UNIT / chars).drop(key, total)
 
 
 def level(nats: Column, chars: Column, mean: float) -> Column:
@@ -244,13 +477,14 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     if tables is None:
         unknown = [F.lit(None).cast("double").alias(name) for name in ("nats", "perplexity", "level", "threshold")]
         return docs.withColumn(as_col, F.struct(*unknown, F.lit(True).alias("keep")))
-    held = log_perplexity(good.where(fold).select("lang", "text"), tables, "text", "nats").select("lang", "nats", F.char_length("text").alias("chars"))
+    exact = exact_model(good.where(~fold).select("text"), tables)
+    held = log_perplexity(good.where(fold).select("lang", "text"), exact, "text", "nats").select("lang", "nats", F.char_length("text").alias("chars"))
     mean, limits = thresholds(staged(held, "held-out"), quantile, slack)
     named = [F.lit(x) for lang, most in limits.items() if lang is not None for x in (lang, most)]
     everything = F.lit(limits.get(None)).cast("double")
     limit = F.coalesce(F.create_map(*named)[col(lang_col)], everything) if named else everything
     nats = free_name(docs, "nats")
-    scored = log_perplexity(docs, tables, text_col, nats)
+    scored = log_perplexity(docs, exact, text_col, nats)
     value = col(nats)
     found = level(value, F.char_length(col(text_col)), mean)
     made = F.struct(value.alias("nats"), F.exp(value).alias("perplexity"), found.alias("level"), limit.alias("threshold"), F.coalesce(found <= limit, F.lit(True)).alias("keep"))

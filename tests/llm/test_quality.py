@@ -65,3 +65,65 @@ def test_awkward_documents(spark, awkward, no_docs):
     assert {0, 3, 4, 5, 12, 13, 18}.issubset(left)
     assert quality.accepted(no_docs, ids).count() == 0
     assert quality.accepted(awkward, ids.where(F.lit(False))).count() == awkward.count()
+
+
+def exact(spark, texts, hot=None):
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    return quality.exact_model(frame, quality.model(frame), hot)
+
+
+def nats(spark, model, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    return [r.nats for r in quality.log_perplexity(frame, model, "text", "nats").orderBy("id").collect()]
+
+
+def test_exact_orders_equal_the_formula(spark):
+    texts = ["the cat sat on the mat. the cat ran.", "жил был кот и был он рыж", "a cat and a hat", "жил был пёс", "the rat sat at the mat"]
+    asked = ["the cat sat", "the cat sat", "был кот", "тык лыб", "zzz", "", None, "the hat и кот", "🙂 日本語"]
+    whole, split = exact(spark, texts), exact(spark, texts, hot=40)
+    assert whole.rest is None and split.rest is not None and len(split.keys) <= 40
+    low, high = quality.EXACT
+    pad = lambda t: [None] * (high - 1) + list(t)
+    seen = {high: {}}
+    for t in texts:
+        p = pad(t)
+        for i in range(high - 1, len(p)):
+            g = tuple(p[i - high + 1 : i + 1])
+            seen[high][g] = seen[high].get(g, 0) + 1
+    seen[low] = {}
+    for g in seen[high]:
+        seen[low][g[1:]] = seen[low].get(g[1:], 0) + 1
+    log = quality.dense(whole.tables)
+
+    def probability(g: tuple, base: float) -> float:
+        order = len(g)
+        if order < low:
+            return base
+        counts = seen[order]
+        n = [sum(c == i for c in counts.values()) for i in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if all(n[1:]) else None
+        d = [min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i - 0.05 if i > 1 else 0.95) for i in (1, 2, 3)] if y else [0.5, 1.0, 1.5]
+        inside = [c for h, c in counts.items() if h[:-1] == g[:-1]]
+        shorter = probability(g[1:], base)
+        if not inside:
+            return shorter
+        c = counts.get(g, 0)
+        return ((c - d[min(c, 3) - 1]) if c else 0) / sum(inside) + sum(d[min(x, 3) - 1] for x in inside) / sum(inside) * shorter
+
+    for t, one, two in zip(asked, nats(spark, whole, asked), nats(spark, split, asked)):
+        assert one == two
+        if not t:
+            assert one is None
+            continue
+        share = dict(zip(whole.tables["point"], whole.tables["share"]))
+        p, base = pad(t), np.exp(log[quality.grams([t])[0]].astype(float) + [share.get(ord(c), 0.0) for c in t])
+        made = [probability(tuple(p[i : i + high]), base[i]) for i in range(len(t))]
+        assert one == pytest.approx(-np.mean(np.log(made)), abs=1e-4)
+
+
+def test_letters_beyond_a_to_z_are_told_apart(spark):
+    trusted = ["жил был у бабушки серый козлик", "бабушка козлика очень любила"] * 3
+    known, shuffled = nats(spark, exact(spark, trusted), ["бабушка любила козлика", "аукшабб алибюл акилзок"])
+    # Both are the same 64 symbols.
+    assert (quality.grams(["бабушка любила козлика"])[0] == quality.grams(["аукшабб алибюл акилзок"])[0]).all()
+    assert known + 0.5 < shuffled
