@@ -24,8 +24,11 @@ text.
 Trusted documents of one fold are left out of the counts. Their perplexities,
 those of unseen clean text, give every language its threshold: the ``QUANTILE``
 of the fold, plus ``SLACK`` nats a character, so that hardly any clean document
-is beyond it. Languages with fewer than ``ENOUGH`` such documents, and documents
-without a language, take the threshold of all languages together. A text of a few
+is beyond it. With few such documents a quantile says little, so it is drawn
+towards the language's mean plus the quantile of all languages' distances from
+their means, which weighs as much as ``ENOUGH`` documents, and is never below the
+language's own. Documents without a language, or of one the fold does not have,
+take the threshold of all languages together. A text of a few
 characters says little about itself: what is compared is the log perplexity as
 if ``PRIOR`` characters of the fold's mean stood before the text.
 
@@ -452,13 +455,24 @@ def thresholds(scored: DataFrame, quantile: float, slack: float) -> tuple[float,
     mean = total["sum"] / total["n"] / GRID if total["n"] else 0.0
     bins = known.select("lang", F.ceil(level(F.col("nats"), F.col("chars"), mean) * GRID).alias("bin"))
     by_lang = bins.where("lang is not null").groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n"))
-    every = bins.groupBy(F.lit(None).cast("string").alias("lang"), "bin").agg(F.count(F.lit(1)).alias("n"))
-    both = by_lang.unionByName(every)
-    upto = W.partitionBy("lang").orderBy("bin")
-    ranked = both.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(W.partitionBy("lang")))
-    reached = ranked.where(F.col("upto") >= F.col("total") * quantile).groupBy("lang").agg(F.min("bin").alias("bin"), F.first("total").alias("total"))
-    rows = reached.where(F.col("lang").isNull() | (F.col("total") >= ENOUGH)).collect()
-    return mean, {r["lang"]: r["bin"] / GRID + slack for r in rows}
+    each = W.partitionBy("lang")
+    by_lang = by_lang.withColumn("middle", F.round(F.sum(F.col("bin") * F.col("n")).over(each) / F.sum("n").over(each)).cast("bigint"))
+    nothing = F.lit(None).cast("string").alias("lang")
+    every = bins.groupBy(nothing, "bin").agg(F.count(F.lit(1)).alias("n")).select("lang", F.lit("all").alias("kind"), "bin", "n", F.lit(0).cast("bigint").alias("middle"))
+    spread = by_lang.groupBy((F.col("bin") - F.col("middle")).alias("bin")).agg(F.sum("n").alias("n")).select(nothing, F.lit("spread").alias("kind"), "bin", "n", F.lit(0).cast("bigint").alias("middle"))
+    both = by_lang.select("lang", F.lit("own").alias("kind"), "bin", "n", "middle").unionByName(every).unionByName(spread)
+    one = W.partitionBy("kind", "lang")
+    ranked = both.withColumn("upto", F.sum("n").over(one.orderBy("bin"))).withColumn("total", F.sum("n").over(one))
+    reached = ranked.where(F.col("upto") >= F.col("total") * quantile).groupBy("kind", "lang").agg(F.min("bin").alias("bin"), F.first("total").alias("total"), F.first("middle").alias("middle"))
+    rows = reached.collect()
+    around = next((r["bin"] for r in rows if r["kind"] == "spread"), 0)
+
+    def limit(r) -> float:
+        if r["kind"] == "all":
+            return r["bin"]
+        return max(r["bin"], (r["total"] * r["bin"] + ENOUGH * (r["middle"] + around)) / (r["total"] + ENOUGH))
+
+    return mean, {r["lang"]: limit(r) / GRID + slack for r in rows if r["kind"] != "spread"}
 
 
 def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", as_col: str = "quality", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:

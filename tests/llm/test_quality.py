@@ -127,3 +127,12 @@ def test_letters_beyond_a_to_z_are_told_apart(spark):
     # Both are the same 64 symbols.
     assert (quality.grams(["бабушка любила козлика"])[0] == quality.grams(["аукшабб алибюл акилзок"])[0]).all()
     assert known + 0.5 < shuffled
+
+
+def test_every_language_has_its_own_threshold(spark):
+    rows = [("en", 1 + i % 100 / 1000, 2000) for i in range(6000)]
+    few = [("de", 2 + i % 10 / 100, 2000) for i in range(20)]
+    _, limits = quality.thresholds(spark.createDataFrame([*rows, *few], "lang string, nats double, chars int"), 0.995, 0.0)
+    assert 2.05 < limits["de"] < 2.2 and limits["en"] < 1.15
+    near = [quality.thresholds(spark.createDataFrame([*rows, *[("de", 2 + i / 1000, 2000) for i in range(n)]], "lang string, nats double, chars int"), 0.995, 0.0)[1]["de"] for n in (199, 200)]
+    assert abs(near[0] - near[1]) < 0.01
