@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe, chosen_path, decontaminate, html, language, mtree, quality, suffix, toxicity, warc
+from pluvio.llm import bpe, chosen_path, decontaminate, html, language, lexical, mtree, quality, suffix, toxicity, warc
 from pluvio.llm.common import col, held_out, staged, table
 from pluvio.session import fresh_path
 
@@ -152,6 +152,43 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
 
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = lexical.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), sizes AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), tf AS (
+  SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), totals
+), scored AS (
+  SELECT item_id, r, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM b JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (r), totals
+  GROUP BY item_id, r, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS n FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM ranked WHERE n <= 10
+"""
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -163,9 +200,11 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_main_text": op9_main_text,
     "op10_decontamination": op10_decontamination,
+    "op13_lexical_search": op13_lexical_search,
 }
 SQL: dict[str, str] = {
     "op4_warc": OP4_SQL,
     "op8_top_k": OP8_SQL,
     "op10_decontamination": OP10_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
