@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import bpe, chosen_path, decontaminate, html, language, lexical, mtree, quality, suffix, toxicity, warc
+from pluvio.llm import bpe, chosen_path, decontaminate, html, language, lexical, mtree, packing, prefix_trie, quality, suffix, toxicity, warc
 from pluvio.llm.common import col, held_out, staged, table
 from pluvio.session import fresh_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: The ranks of byte_bpe_50k.json, and its added token.
+PACKING_RANKS, PACKING_SPECIAL = "byte_bpe_50k.tiktoken", {"<|endoftext|>": 50256}
 
 
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -152,6 +154,55 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conv = F.col("conv_id")
+    turns = staged(prefix_trie.ordered_turns(table(spark, folder, "conversations")), "trie-turns")
+    head = F.crc32(conv.cast("string").cast("binary")) % 4
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(turns, head, conv - conv % 20, 3))
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'k': k, 'words': words} ORDER BY turn NULLS FIRST, k) AS l, CAST(conv_id AS VARCHAR) AS s FROM t GROUP BY conv_id
+), heads AS (
+  SELECT conv_id, l, xor(list_reduce(list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(s[i]) AS BIGINT)),
+    lambda x, b: list_reduce(range(0, 8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), xor(x, b)), CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h
+  FROM own
+), rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.l[1 : a.h], []), a.l[a.h + 1 : ]) AS l
+  FROM heads AS a LEFT JOIN own AS b ON b.conv_id = a.conv_id - a.conv_id % 20
+), steps AS (
+  SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM rebuilt
+), nodes AS (
+  SELECT l[1 : d] AS p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(l) = d), '')) AS ends_sha256
+  FROM steps GROUP BY p, d
+), kids AS (
+  SELECT p[1 : depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), valued AS (
+  SELECT nodes.p, depth, CAST(kids.n IS NULL AS BIGINT) AS leaf, CASE WHEN depth > 0 THEN (n_convs - 1) * nodes.p[depth].words ELSE 0 END AS saved
+  FROM nodes LEFT JOIN kids USING (p)
+), sums AS (
+  SELECT p[1 : a] AS p, sum(leaf) AS leaves, sum(saved) AS saved
+  FROM (SELECT p, leaf, saved, unnest(range(0, depth + 1)) AS a FROM valued) GROUP BY 1
+)
+SELECT nodes.conv_id, depth, up.conv_id AS parent_conv_id, n_convs, coalesce(kids.n, 0) AS n_children,
+       CAST(sums.leaves AS BIGINT) AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN sums USING (p) LEFT JOIN kids USING (p)
+LEFT JOIN (SELECT p AS up_p, conv_id FROM nodes) AS up ON depth > 0 AND up_p = nodes.p[1 : depth - 1]
+"""
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    pieces = packing.pack(docs, public_tokenizers.path(PACKING_RANKS), public_tokenizers.PATTERN, PACKING_SPECIAL)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     found = lexical.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("item_id", "rank", "doc_id", "score")
@@ -200,11 +251,14 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_main_text": op9_main_text,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_packing": op12_packing,
     "op13_lexical_search": op13_lexical_search,
 }
 SQL: dict[str, str] = {
     "op4_warc": OP4_SQL,
     "op8_top_k": OP8_SQL,
     "op10_decontamination": OP10_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op13_lexical_search": OP13_SQL,
 }
