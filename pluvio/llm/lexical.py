@@ -179,7 +179,10 @@ def _plan(queries: DataFrame, total: int, pairs: int) -> DataFrame:
         found.insert(0, "block", rows["block"].iloc[0])
         return found
 
-    cut_up = near.sortWithinPartitions("likeness", "query").select("query", "words").mapInArrow(cut, "block bigint, query string, words array<string>")
+    if total <= pairs:
+        cut_up = queries.select(F.lit(0).cast("bigint").alias("block"), "query", "words")
+    else:
+        cut_up = near.sortWithinPartitions("likeness", "query").select("query", "words").mapInArrow(cut, "block bigint, query string, words array<string>")
     return staged(cut_up.groupBy("block").applyInPandas(graph, PLAN), "search-plan")
 
 
