@@ -10,15 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pluvio import schema as S
 
-def total(value: Column | str, scale: int = 2) -> Column:
+#: Digits of the measures' columns.
+MEASURE_DIGITS = {name: int(kind[len("decimal(") :].split(",")[0]) for name, kind in S.MEASURES.items()}
+
+
+def total(value: Column | str, scale: int = 2, digits: int | None = None) -> Column:
     """Aggregate: the exact sum, wide enough for any number of rows.
 
     A sum of ``decimal(5,2)`` is ``decimal(15,2)`` and ends at 1e13, which
-    10**11 rows of humidity reach. ``scale`` is the column's own.
+    10**11 rows of humidity reach. Columns of at most eight digits are summed as
+    ``decimal(8,scale)``: Spark adds those as 64-bit numbers, and ``decimal(18,scale)``
+    holds 10**13 rows of 999.99. All others take ``decimal(28,scale)``. ``scale`` is
+    the column's own; ``digits`` its digits, known for measures given by name.
     """
-    column = F.col(value) if isinstance(value, str) else value
-    return F.sum(column.cast(f"decimal(28,{scale})"))
+    if isinstance(value, str):
+        digits = MEASURE_DIGITS.get(value) if digits is None else digits
+        value = F.col(value)
+    if digits is not None and digits <= 8:
+        return F.sum(value.cast(f"decimal(8,{scale})")).cast(f"decimal(28,{scale})")
+    return F.sum(value.cast(f"decimal(28,{scale})"))
 
 
 def half_up_ratio(numerator: Column, denominator: Column) -> Column:
@@ -33,15 +45,12 @@ def half_up_ratio(numerator: Column, denominator: Column) -> Column:
     return (signed.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(18,2)")
 
 
-def mean(value: Column) -> Column:
-    """Aggregate: the exact sum over the number of non-null values, as double.
-
-    Four decimals cover measures and probabilities alike.
-    """
-    return F.try_divide(total(value, 4).cast("double"), F.count(value))
+def mean(value: Column | str, scale: int = 2, digits: int | None = None) -> Column:
+    """Aggregate: the exact sum over the number of non-null values, as double."""
+    return F.try_divide(total(value, scale, digits).cast("double"), F.count(value))
 
 
-def rounded_mean(value: Column) -> Column:
+def rounded_mean(value: str) -> Column:
     """Aggregate: the mean of a two-decimal column, rounded to two decimals."""
     hundredths = (total(value) * 100).cast("bigint")
     return half_up_ratio(hundredths, F.count(value))

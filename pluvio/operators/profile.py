@@ -4,20 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvio import schema as S
 from pluvio.functions.numeric import half_up_ratio, or_zero, total
-from pluvio.operators.quantiles import Quantile, ranked, scale_of, value_counts
+from pluvio.operators.quantiles import bin_of, scale_of, spans, typed, with_quantiles
 
-QUARTILES = [Quantile("p25", 0.25), Quantile("p50", 0.5), Quantile("p75", 0.75)]
-QUARTILE_NAMES = [q.name for q in QUARTILES]
-
-
-def _over_measure(value: Column) -> Column:
-    """The one value of a measure that is not NULL, on each of its rows."""
-    return F.max(value).over(Window.partitionBy("variavel"))
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
 def missing_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -59,20 +53,38 @@ def station_coverage(observations: DataFrame, stations: DataFrame) -> DataFrame:
     return covered.join(stations.select("codigo_wmo", "nome", "uf"), "codigo_wmo")
 
 
+def _with_rows(values: DataFrame, measures: Sequence[str], per_measure: DataFrame, *wanted: str) -> DataFrame:
+    """Every value in a row of its own beside the named numbers of its measure."""
+    rows = [F.struct(F.lit(m).alias("variavel"), F.col(m).alias("valor")) for m in measures]
+    long = values.select(F.inline(F.array(*rows))).where(F.col("valor").isNotNull())
+    # One row per named measure is broadcast.
+    return long.join(F.broadcast(per_measure.select("variavel", *wanted)), "variavel")
+
+
 def _distribution(df: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Counts, moments, extremes and quartiles per measure, in one pass."""
-    n, value = F.col("_n"), F.col("valor").cast("double")
-    total, count = F.sum(F.col("valor") * F.col("n")).cast("double"), F.max("_total")
-    squares = F.sum(value * value * n) - total * total / F.nullif(count, F.lit(0))
-    rows = ranked(value_counts(df, measures))
-    return rows.groupBy("variavel").agg(
-        F.max("_total").alias("contagem"),
-        F.sum(F.col("n") - n).alias("nulos"),
-        F.try_divide(total, count).alias("media"),
-        F.sqrt(F.try_divide(F.greatest(squares, F.lit(0.0)), count - 1)).alias("desvio"),
-        F.min("valor").cast("double").alias("minimo"),
-        *[quantile.result() for quantile in QUARTILES],
-        F.max("valor").cast("double").alias("maximo"),
+    """Counts, moments, extremes and quartiles per measure.
+
+    Squares are summed about the mean, which a pass before has found, so values
+    far from zero lose nothing.
+    """
+    values = typed(df, measures)
+    span = spans(values, measures).withColumn("media", F.try_divide(F.col("_sum").cast("double"), F.col("_total")))
+    away = F.col("valor").cast("double") - F.col("media")
+    # The sum of distances is what rounding the mean has left.
+    centred = _with_rows(values, measures, span, "media").groupBy("variavel").agg(
+        F.sum(away * away).alias("_squares"), F.sum(away).alias("_away")
+    )
+    found = with_quantiles(values, measures, QUARTILES, span).join(F.broadcast(centred), "variavel", "left")
+    spread = F.col("_squares") - F.try_divide(F.col("_away") * F.col("_away"), F.col("_total"))
+    return found.select(
+        "variavel",
+        F.col("_total").alias("contagem"),
+        F.col("_gaps").alias("nulos"),
+        "media",
+        F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), F.col("_total") - 1)).alias("desvio"),
+        F.col("_low").cast("double").alias("minimo"),
+        *QUARTILES,
+        F.col("_high").cast("double").alias("maximo"),
     )
 
 
@@ -92,54 +104,51 @@ def precipitation_summary(observations: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, measures: Sequence[str], bins: int = 50) -> DataFrame:
     """Equal-width bins per measure, empty bins included.
 
-    A bin holds its lower edge; the last bin holds both edges. Positions are
-    computed in whole steps of the measures' scale, so an edge value never slips.
-    A measure with a single value lies in the middle of a bin range one unit wide.
-    One pass finds the extremes, one row per measure, and one fills the bins; both
-    are combined before the shuffle.
+    A bin holds its lower edge; the last bin holds both edges. Positions of
+    decimals are computed in whole steps of the measures' scale, so an edge value
+    never slips; floating-point values are binned as they are. A measure with a
+    single value lies in the middle of a bin range one unit wide. A measure without
+    values has no bins. One pass finds the extremes, two numbers per measure, which
+    the second pass has as constants; both are combined before the shuffle.
     """
-    scale = max(scale_of(df, measures), 1)
-    unit = 10**scale
-    typed = df.select(*[(F.col(m).cast(f"decimal(28,{scale})") * unit).cast("bigint").alias(m) for m in measures])
-    values = typed.unpivot([], list(measures), "variavel", "_at").where(F.col("_at").isNotNull())
-    ends = values.groupBy("variavel").agg(F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
-    spare = F.when(F.col("_hi") == F.col("_lo"), unit // 2).otherwise(0)
-    ends = ends.select("variavel", (F.col("_lo") - spare).alias("_lo"), (F.col("_hi") + spare).alias("_hi"))
-    width = F.col("_hi") - F.col("_lo")
-    # One row per named measure is broadcast.
-    rows = values.join(F.broadcast(ends), "variavel")
-    share = ((F.col("_at") - F.col("_lo")).cast("decimal(20,0)") * bins, width.cast("decimal(20,0)"))
-    place = F.least(F.call_function("div", *share), F.lit(bins - 1).cast("bigint"))
-    filled = rows.groupBy("variavel", "_lo", "_hi", place.alias("faixa")).agg(F.count("*").alias("n"))
-    # At most ``bins`` entries per measure meet here.
-    per_measure = filled.groupBy("variavel", "_lo", "_hi").agg(
-        F.map_from_entries(F.collect_list(F.struct("faixa", "n"))).alias("_filled")
-    )
-    every = F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))
-
-    def edge(index: Column) -> Column:
-        return (F.col("_lo") * bins + index * width).cast("double") / (unit * bins)
-
-    return per_measure.withColumn("faixa", F.explode(every)).select(
-        "variavel",
-        "faixa",
-        edge(F.col("faixa")).alias("de"),
-        edge(F.col("faixa") + 1).alias("ate"),
-        or_zero(F.try_element_at("_filled", F.col("faixa"))).alias("contagem"),
-    )
+    scale = scale_of(df, measures)
+    values = typed(df, measures)
+    if scale is None:
+        unit, ends = 1, [F.struct(F.min(m), F.max(m)) for m in measures]
+    else:
+        unit = 10 ** max(scale, 1)
+        values = values.select(*[(F.col(m) * unit).cast("bigint").alias(m) for m in measures])
+        ends = [F.struct(F.min(m), F.max(m)) for m in measures]
+    found = {m: tuple(end) for m, end in zip(measures, values.agg(*ends).first(), strict=True) if end[0] is not None}
+    spare = 0.5 if scale is None else unit // 2
+    found = {m: (low - spare, high + spare) if low == high else (low, high) for m, (low, high) in found.items()}
+    edges = [(m, i, (low * bins + i * (high - low)) / (unit * bins), (low * bins + (i + 1) * (high - low)) / (unit * bins)) for m, (low, high) in found.items() for i in range(bins)]
+    every = df.sparkSession.createDataFrame(edges, "variavel string, faixa bigint, de double, ate double")
+    if not found:
+        return every.withColumn("contagem", F.lit(0).cast("bigint"))
+    places = []
+    for m, (low, high) in found.items():
+        if scale is None:
+            place = bin_of(F.col(m), F.lit(low), F.lit(high), bins)
+        else:
+            wide = "bigint" if (high - low) * bins < 2**62 else "decimal(38,0)"
+            place = F.least(F.call_function("div", (F.col(m) - low).cast(wide) * bins, F.lit(high - low).cast(wide)), F.lit(bins - 1).cast("bigint"))
+        places.append(F.struct(F.lit(m).alias("variavel"), F.when(F.col(m).isNotNull(), place).cast("bigint").alias("faixa")))
+    counted = values.select(F.inline(F.array(*places))).where(F.col("faixa").isNotNull()).groupBy("variavel", "faixa").agg(F.count("*").alias("n"))
+    return every.join(counted, ["variavel", "faixa"], "left").select("variavel", "faixa", "de", "ate", or_zero(F.col("n")).alias("contagem"))
 
 
 def box_plot(df: DataFrame, measures: Sequence[str] = ("precipitacao_mm",)) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges, and outlier counts."""
-    rows = ranked(value_counts(df, measures))
-    rows = rows.withColumns({q.name: q.result(_over_measure) for q in QUARTILES}).where(F.col("valor").isNotNull())
+    values = typed(df, measures)
+    quartiles = with_quantiles(values, measures, QUARTILES, spans(values, measures)).select("variavel", *QUARTILES)
     reach = (F.col("p75") - F.col("p25")) * 1.5
     value = F.col("valor").cast("double")
     inside = value.between(F.col("p25") - reach, F.col("p75") + reach)
-    return rows.groupBy("variavel", *QUARTILE_NAMES).agg(
+    return _with_rows(values, measures, quartiles, *QUARTILES).groupBy("variavel", *QUARTILES).agg(
         F.min(F.when(inside, value)).alias("haste_inferior"),
         F.max(F.when(inside, value)).alias("haste_superior"),
-        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("atipicos"),
+        F.count_if(~inside).alias("atipicos"),
     )
 
 

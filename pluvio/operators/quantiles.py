@@ -1,101 +1,143 @@
-"""Exact distributions of measures in one pass over the rows.
-
-Rows are first counted per group and value, which is combined before the
-shuffle, so a value or a group that holds most of the rows costs no more than
-any other. Everything else works on those counts: a running count in value
-order tells which value holds a position. What meets in one task is the
-distinct values of one measure in one group, never its rows; the column type
-bounds them (200,000 for ``decimal(5,2)``), and the window streams and spills.
-
-Values keep the scale of their columns: the largest one among the measures, ten
-places for binary floating point.
+"""Exact quantiles by selecting ranks from counts per value range.
+
+No task ever gets the values of a measure. A first pass takes count, least and
+greatest value of every measure; a second counts the rows of ``BINS`` equal ranges
+between them, combined before the shuffle. A running count over the ranges tells
+which one holds a wanted rank, and the range keeps its own least and greatest value,
+so the next pass divides it again. After ``PASSES`` of them the few distinct values left in a
+range are counted and the rank is found among them. What meets per measure and
+group is at most ``BINS`` ranges, then the values of one range: decimals of ten
+digits leave 600, whatever the number of rows and wherever they gather.
+
+Decimals keep the largest scale among the measures and are exact; if one is a
+binary floating-point column, all are compared as such, unrounded. NULL and NaN
+have no value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BINS, PASSES = 4096, 2
 
-def scale_of(df: DataFrame, measures: Sequence[str]) -> int:
-    """Decimal places that hold every value of the measures."""
-    kinds = [df.schema[m].dataType for m in measures]
-    places = [k.scale if isinstance(k, T.DecimalType) else 10 if isinstance(k, T.FractionalType) else 0 for k in kinds]
-    return max(places)
 
-
-def value_counts(
-    df: DataFrame, measures: Sequence[str], groups: Sequence[str] = (), overall: str | None = None
-) -> DataFrame:
-    """How often each value of each measure occurs: groups, variavel, valor, n.
-
-    A NULL ``valor`` counts the rows without a value, so a group keeps its
-    place. ``overall`` names a flag column; rows where it is true count all
-    groups taken together.
-    """
-    kind = f"decimal(28,{scale_of(df, measures)})"
-    typed = df.select(*groups, *[F.col(m).cast(kind).alias(m) for m in measures])
-    counts = (
-        typed.unpivot(list(groups), list(measures), "variavel", "valor")
-        .groupBy(*groups, "variavel", "valor")
-        .agg(F.count("*").alias("n"))
-    )
-    if overall is None:
-        return counts
-    types = dict(counts.dtypes)
-    own = F.struct(F.lit(False).alias(overall), *groups)
-    every = F.struct(F.lit(True).alias(overall), *[F.lit(None).cast(types[g]).alias(g) for g in groups])
-    scoped = counts.select(F.explode(F.array(own, every)).alias("_scope"), "variavel", "valor", "n")
-    keys = [F.col(f"_scope.{g}").alias(g) for g in (overall, *groups)]
-    return scoped.groupBy(*keys, "variavel", "valor").agg(F.sum("n").alias("n"))
-
-
-def ranked(counts: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
-    """Add ``_n``, rows with a value, ``_until``, their running sum, ``_total``, and ``_unit``.
-
-    ``_unit`` is how many of the smallest steps of ``valor`` make one.
+def scale_of(df: DataFrame, measures: Sequence[str]) -> int | None:
+    """Decimal places that hold every value of the measures; nothing if one is floating point."""
+    kinds = [df.schema[m].dataType for m in measures]
+    if any(isinstance(k, T.FractionalType) and not isinstance(k, T.DecimalType) for k in kinds):
+        return None
+    return max(k.scale if isinstance(k, T.DecimalType) else 0 for k in kinds)
+
+
+def typed(df: DataFrame, measures: Sequence[str], *others: str) -> DataFrame:
+    """The measures in one type, NaN as NULL, and the other columns."""
+    scale = scale_of(df, measures)
+    if scale is None:
+        columns = [F.nanvl(F.col(m).cast("double"), F.lit(None).cast("double")).alias(m) for m in measures]
+    else:
+        columns = [F.col(m).cast(f"decimal(28,{scale})").alias(m) for m in measures]
+    return df.select(*others, *columns)
+
+
+def _long(df: DataFrame, measures: Sequence[str], *others: str) -> DataFrame:
+    rows = [F.struct(F.lit(m).alias("variavel"), F.col(m).alias("valor")) for m in measures]
+    return df.select(*others, F.inline(F.array(*rows))).where(F.col("valor").isNotNull())
+
+
+def spans(values: DataFrame, measures: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
+    """Per group and measure: rows, gaps, sum, least and greatest value; one pass, rows not multiplied."""
+    cells = []
+    for m in measures:
+        whole = F.sum(m).alias("_sum")
+        cells.append(
+            F.struct(
+                F.lit(m).alias("variavel"), F.count(m).alias("_total"), F.count_if(F.col(m).isNull()).alias("_gaps"),
+                whole, F.min(m).alias("_low"), F.max(m).alias("_high"),
+            )
+        )
+    return values.groupBy(*groups).agg(F.array(*cells).alias("_cells")).select(*groups, F.inline("_cells"))
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], inside: Column | None = None) -> DataFrame:
+    """An inner join in which NULL keys are equal too."""
+    named = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = F.lit(True) if inside is None else inside
+    for k in keys:
+        same = F.col(k).eqNullSafe(F.col(f"_r_{k}")) & same
+    return left.join(named, same).drop(*[f"_r_{k}" for k in keys])
+
+
+def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
+    """The equal range of ``low`` to ``high`` that holds a value; never falls as the value grows."""
+    low, value = low.cast("double"), value.cast("double")
+    share = F.try_divide(value - low, high.cast("double") - low)
+    # Infinite ends leave no share; such values go to the last range.
+    whole = F.floor(F.least(F.nanvl(F.coalesce(share, F.lit(0.0)), F.lit(1.0)), F.lit(1.0)) * bins)
+    return F.least(whole, F.lit(bins - 1)).cast("int")
+
+
+def select_ranks(values: DataFrame, measures: Sequence[str], ranks: dict[str, Column], span: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """Per group and measure of ``span`` with values: the value at every named zero-based rank.
+
+    ``values`` comes from ``typed``; the ranks are columns over ``span``.
     """
-    unit = 10 ** counts.schema["valor"].dataType.scale
-    whole = Window.partitionBy(*groups, "variavel")
-    up_to = whole.orderBy("valor").rowsBetween(Window.unboundedPreceding, 0)
-    rows = F.when(F.col("valor").isNotNull(), F.col("n")).otherwise(0)
-    return counts.withColumns({"_n": rows, "_unit": F.lit(unit)}).withColumns(
-        {"_until": F.sum("_n").over(up_to), "_total": F.sum("_n").over(whole)}
-    )
-
-
-class Quantile:
-    """A linearly interpolated quantile over ``ranked`` counts."""
-
-    def __init__(self, name: str, probability: float) -> None:
-        self.name, self.probability = name, probability
-
-    def _at(self, rank: Column) -> Column:
-        """The value in smallest steps on the row that holds a zero-based rank."""
-        holds = (rank >= F.col("_until") - F.col("_n")) & (rank < F.col("_until"))
-        return F.when(holds, (F.col("valor") * F.col("_unit")).cast("double"))
-
-    def result(self, gather: Callable[[Column], Column] = F.max) -> Column:
-        """The quantile; ``gather`` takes the one value that is not NULL."""
-        position = F.lit(self.probability) * (F.col("_total") - 1)
-        low, high = gather(self._at(F.floor(position))), gather(self._at(F.ceil(position)))
-        place = F.lit(self.probability) * (gather(F.col("_total")) - 1)
-        return ((low + (high - low) * (place - F.floor(place))) / gather(F.col("_unit"))).alias(self.name)
-
-
-def quantiles_of(counts: DataFrame, probabilities: dict[str, float], groups: Sequence[str] = ()) -> DataFrame:
-    """One row per group and measure with the named quantiles as doubles."""
-    wanted = [Quantile(name, p).result() for name, p in probabilities.items()]
-    return ranked(counts, groups).groupBy(*groups, "variavel").agg(*wanted)
+    keys = [*groups, "variavel"]
+    rows = _long(values, measures, *groups)
+    names = list(ranks)
+    ranges = span.where(F.col("_total") > 0).select(*keys, "_low", "_high", *[r.cast("bigint").alias(n) for n, r in ranks.items()])
+
+    def passed(counted: DataFrame, order: str, whole: Sequence[str]) -> DataFrame:
+        """Ranks counted from the start of the range that holds them, NULL elsewhere; ranges without any are dropped."""
+        until = F.sum("_n").over(Window.partitionBy(*whole).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+        placed = counted.withColumn("_before", until - F.col("_n"))
+        here = {n: F.when((F.col(n) >= F.col("_before")) & (F.col(n) < F.col("_before") + F.col("_n")), F.col(n) - F.col("_before")) for n in names}
+        return placed.withColumns(here).where(F.coalesce(*names).isNotNull())
+
+    wanted = [F.max(n).alias(n) for n in names]
+    between = F.col("valor").between(F.col("_low"), F.col("_high"))
+    for _ in range(PASSES):
+        # A handful of ranges per group and measure, each with its own ends.
+        met = _meet(rows, ranges, keys, between)
+        binned = met.withColumn("_bin", bin_of(F.col("valor"), F.col("_low"), F.col("_high"), BINS))
+        counted = binned.groupBy(*keys, F.col("_low").alias("_from"), "_bin").agg(
+            F.count("*").alias("_n"), F.min("valor").alias("_low"), F.max("valor").alias("_high"), *wanted
+        )
+        ranges = passed(counted, "_bin", [*keys, "_from"]).select(*keys, "_low", "_high", *names)
+    counted = _meet(rows, ranges, keys, between).groupBy(*keys, F.col("_low").alias("_from"), "valor").agg(F.count("*").alias("_n"), *wanted)
+    found = passed(counted, "valor", [*keys, "_from"])
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col(n).isNotNull(), F.col("valor"))).alias(n) for n in names])
+
+
+def with_quantiles(values: DataFrame, measures: Sequence[str], probabilities: dict[str, float], span: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``span`` and linearly interpolated quantiles as doubles, NULL where a measure has no value."""
+    keys = [*groups, "variavel"]
+    kind = span.schema["_low"].dataType
+    unit = F.lit(10**kind.scale if isinstance(kind, T.DecimalType) else 1)
+    position = {name: F.lit(p) * (F.col("_total") - 1) for name, p in probabilities.items()}
+    ranks = {f"_{side}_{name}": turn(at) for name, at in position.items() for side, turn in (("f", F.floor), ("c", F.ceil))}
+    found = select_ranks(values, measures, ranks, span, groups)
+    steps = {n: (F.col(n) * unit).cast("double") for n in ranks}
+    named = found.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[v.alias(n) for n, v in steps.items()])
+    same = F.lit(True)
+    for k in keys:
+        same = F.col(k).eqNullSafe(F.col(f"_r_{k}")) & same
+    results = {
+        name: (F.col(f"_f_{name}") + (F.col(f"_c_{name}") - F.col(f"_f_{name}")) * (at - F.floor(at))) / unit for name, at in position.items()
+    }
+    return span.join(named, same, "left").withColumns(results).drop(*ranks, *[f"_r_{k}" for k in keys])
 
 
 def quantiles(
     df: DataFrame, measures: Sequence[str], probabilities: dict[str, float], groups: Sequence[str] = ()
 ) -> DataFrame:
-    return quantiles_of(value_counts(df, measures, groups), probabilities, groups)
+    """One row per group and measure with the named quantiles as doubles."""
+    values = typed(df, measures, *groups)
+    found = with_quantiles(values, measures, probabilities, spans(values, measures, groups), groups)
+    return found.select(*groups, "variavel", *probabilities)
 
 
 def medians(df: DataFrame, measures: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:

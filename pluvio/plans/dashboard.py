@@ -110,7 +110,7 @@ def station_heat_map(
     per_code = (
         rows_in_range(observations, start, end)
         .groupBy(_day().alias("time"), "codigo_wmo", CLASS)
-        .agg(mean(F.col(RAIN)).alias("value"))
+        .agg(mean(RAIN).alias("value"))
     )
     known = per_code.join(stations.select("codigo_wmo"), "codigo_wmo")
     return known.select("time", F.col("codigo_wmo").alias("estacao"), "value", CLASS)
@@ -122,7 +122,7 @@ def daily_mean(observations: DataFrame, start: Moment | None = None, end: Moment
         rows_in_range(observations, start, end)
         .groupBy(_day().alias("time"), CLASS)
         .agg(
-            mean(F.col(RAIN)).alias("value"),
+            mean(RAIN).alias("value"),
             F.max(RAIN).alias("max_precip"),
             F.min(RAIN).alias("min_precip"),
         )
@@ -175,9 +175,9 @@ def weather_by_time(observations: DataFrame, start: Moment | None = None, end: M
         rows_in_range(observations, start, end)
         .groupBy(F.col("timestamp_utc").alias("time"), CLASS)
         .agg(
-            mean(F.col("temperatura_ar_c")).alias("temperatura_media"),
-            mean(F.col(RAIN)).alias("precipitacao_media"),
-            mean(F.col("umidade_rel_horaria_pct")).alias("umidade_media"),
+            mean("temperatura_ar_c").alias("temperatura_media"),
+            mean(RAIN).alias("precipitacao_media"),
+            mean("umidade_rel_horaria_pct").alias("umidade_media"),
         )
     )
 
@@ -197,11 +197,11 @@ def station_table(
         .agg(
             F.count("*").alias("total_registros"),
             *[F.count_if(F.col(CLASS) == c).alias(c) for c in S.CLASSES],
-            rounded_mean(F.col(RAIN)).alias("precip_media"),
+            rounded_mean(RAIN).alias("precip_media"),
             F.max(RAIN).alias("precip_maxima"),
-            rounded_mean(F.col("temperatura_ar_c")).alias("temp_media"),
-            rounded_mean(F.col("umidade_rel_horaria_pct")).alias("umidade_media"),
-            rounded_mean(F.col("pressao_estacao_mb")).alias("pressao_media"),
+            rounded_mean("temperatura_ar_c").alias("temp_media"),
+            rounded_mean("umidade_rel_horaria_pct").alias("umidade_media"),
+            rounded_mean("pressao_estacao_mb").alias("pressao_media"),
         )
     )
     return with_station(per_code, stations, "nome", "uf").withColumnRenamed("nome", "estacao")
@@ -221,7 +221,7 @@ def daily_trend(observations: DataFrame, start: Moment | None = None, end: Momen
     return (
         rows_in_range(observations, start, end)
         .groupBy(_day().alias("time"), CLASS)
-        .agg(F.count("*").alias("ocorrencias"), rounded_mean(F.col(RAIN)).alias("precip_media"))
+        .agg(F.count("*").alias("ocorrencias"), rounded_mean(RAIN).alias("precip_media"))
     )
 
 
@@ -235,8 +235,8 @@ def rain_against_humidity(
         .where(both)
         .groupBy(_day().alias("_day"), CLASS)
         .agg(
-            mean(F.col(RAIN)).alias("x"),
-            mean(F.col("umidade_rel_horaria_pct")).alias("y"),
+            mean(RAIN).alias("x"),
+            mean("umidade_rel_horaria_pct").alias("y"),
             F.count("*").alias("tamanho_bubble"),
         )
         .drop("_day")
@@ -249,11 +249,11 @@ def class_comparison(observations: DataFrame, start: Moment | None = None, end:
         rows_in_range(observations, start, end)
         .groupBy(CLASS)
         .agg(
-            rounded_mean(F.col("temperatura_ar_c")).alias("temperatura"),
-            rounded_mean(F.col("umidade_rel_horaria_pct")).alias("umidade"),
-            rounded_mean(F.col("pressao_estacao_mb")).alias("pressao"),
-            rounded_mean(F.col("vento_velocidade_ms")).alias("vento"),
-            rounded_mean(F.col("radiacao_global_kjm2")).alias("radiacao"),
+            rounded_mean("temperatura_ar_c").alias("temperatura"),
+            rounded_mean("umidade_rel_horaria_pct").alias("umidade"),
+            rounded_mean("pressao_estacao_mb").alias("pressao"),
+            rounded_mean("vento_velocidade_ms").alias("vento"),
+            rounded_mean("radiacao_global_kjm2").alias("radiacao"),
         )
     )
 
@@ -274,7 +274,7 @@ def hour_frequency(observations: DataFrame, start: Moment | None = None, end: Mo
     return (
         rows_in_range(observations, start, end)
         .groupBy(F.hour("timestamp_utc").alias("hora"), CLASS)
-        .agg(F.count("*").alias("frequencia"), rounded_mean(F.col(RAIN)).alias("precip_media_hora"))
+        .agg(F.count("*").alias("frequencia"), rounded_mean(RAIN).alias("precip_media_hora"))
     )
 
 
@@ -286,7 +286,7 @@ def daily_extremes(observations: DataFrame, start: Moment | None = None, end: Mo
         .agg(
             F.max(RAIN).alias("value"),
             F.min(RAIN).alias("min_precip"),
-            mean(F.col(RAIN)).alias("media_precip"),
+            mean(RAIN).alias("media_precip"),
         )
     )
 
@@ -320,9 +320,9 @@ def wind_against_rain(observations: DataFrame, start: Moment | None = None, end:
         rainy_in_range(observations, start, end)
         .groupBy(_day().alias("time"), CLASS)
         .agg(
-            rounded_mean(F.col("vento_velocidade_ms")).alias("vento_medio"),
-            rounded_mean(F.col(RAIN)).alias("precip_media"),
-            rounded_mean(F.col("vento_rajada_max_ms")).alias("vento_rajada_max"),
+            rounded_mean("vento_velocidade_ms").alias("vento_medio"),
+            rounded_mean(RAIN).alias("precip_media"),
+            rounded_mean("vento_rajada_max_ms").alias("vento_rajada_max"),
         )
     )
 
@@ -337,8 +337,8 @@ def daily_summary(observations: DataFrame, start: Moment | None = None, end: Mom
             *[F.count_if(F.col(CLASS) == c).alias(c) for c in S.CLASSES],
             total(RAIN).alias("precip_total_dia"),
             F.max(RAIN).alias("precip_max_dia"),
-            rounded_mean(F.col("temperatura_ar_c")).alias("temp_media_dia"),
-            rounded_mean(F.col("umidade_rel_horaria_pct")).alias("umidade_media_dia"),
+            rounded_mean("temperatura_ar_c").alias("temp_media_dia"),
+            rounded_mean("umidade_rel_horaria_pct").alias("umidade_media_dia"),
             F.countDistinct("codigo_wmo").alias("estacoes_ativas"),
         )
     )

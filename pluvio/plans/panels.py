@@ -16,7 +16,7 @@ def rainy_class_counts(observations: DataFrame) -> DataFrame:
 
 def rainy_class_mean(observations: DataFrame, measure: str) -> DataFrame:
     """Rainy class: mean of one measure, zero where it was never measured."""
-    return rainy(observations).groupBy(CLASS).agg(or_zero(mean(F.col(measure))).alias("valor"))
+    return rainy(observations).groupBy(CLASS).agg(or_zero(mean(measure)).alias("valor"))
 
 
 def first_points(observations: DataFrame, limit: int = 10_000) -> DataFrame:
@@ -34,6 +34,6 @@ def half_hour_mean(observations: DataFrame, measure: str, width: str = "30 minut
     rows = measured(classified(observations), measure)
     return (
         rows.groupBy(F.window("timestamp_utc", width).alias("_window"), CLASS)
-        .agg(mean(F.col(measure)).alias("valor"))
+        .agg(mean(measure).alias("valor"))
         .select(F.col("_window.start").alias("time"), "valor", CLASS)
     )

@@ -40,15 +40,15 @@ def daily_data(observations: DataFrame) -> DataFrame:
     """Station and date: rain, temperature, humidity, pressure and wind."""
     return observations.groupBy("codigo_wmo", "data").agg(
         F.count("*").alias("total_registros"),
-        mean(F.col("precipitacao_mm")).alias("precip_media"),
+        mean("precipitacao_mm").alias("precip_media"),
         total("precipitacao_mm").alias("precip_total"),
         F.max("precipitacao_mm").alias("precip_max"),
-        mean(F.col("temperatura_ar_c")).alias("temp_media"),
+        mean("temperatura_ar_c").alias("temp_media"),
         F.max("temperatura_ar_c").alias("temp_max"),
         F.min("temperatura_ar_c").alias("temp_min"),
-        mean(F.col("umidade_rel_horaria_pct")).alias("umidade_media"),
-        mean(F.col("pressao_estacao_mb")).alias("pressao_media"),
-        mean(F.col("vento_velocidade_ms")).alias("vento_medio"),
+        mean("umidade_rel_horaria_pct").alias("umidade_media"),
+        mean("pressao_estacao_mb").alias("pressao_media"),
+        mean("vento_velocidade_ms").alias("vento_medio"),
         F.max("vento_rajada_max_ms").alias("vento_rajada_max"),
     )
 
@@ -84,7 +84,7 @@ def general_statistics(observations: DataFrame) -> DataFrame:
         F.min("timestamp_utc").alias("data_inicio"),
         F.max("timestamp_utc").alias("data_fim"),
         F.sum(F.when(F.col("precipitacao_mm") > 0, 1).otherwise(0)).alias("registros_com_chuva"),
-        mean(F.col("precipitacao_mm")).alias("precip_media_geral"),
+        mean("precipitacao_mm").alias("precip_media_geral"),
         F.max("precipitacao_mm").alias("precip_max_geral"),
     )
 
@@ -112,7 +112,7 @@ def class_bars(observations: DataFrame) -> DataFrame:
         .groupBy(CLASS)
         .agg(
             F.count("*").alias("total_registros"),
-            or_zero(mean(F.col("precipitacao_mm"))).alias("precip_media"),
+            or_zero(mean("precipitacao_mm")).alias("precip_media"),
             or_zero(F.max("precipitacao_mm")).alias("precip_max"),
             or_zero(F.min("precipitacao_mm")).alias("precip_min"),
         )
@@ -128,12 +128,12 @@ def daily_by_class(observations: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("total_registros"),
             or_zero(total("precipitacao_mm")).alias("precip_total_dia"),
-            or_zero(mean(F.col("precipitacao_mm"))).alias("precip_media_dia"),
+            or_zero(mean("precipitacao_mm")).alias("precip_media_dia"),
             or_zero(F.max("precipitacao_mm")).alias("precip_max_dia"),
-            or_zero(mean(F.col("temperatura_ar_c"))).alias("temp_media"),
-            or_zero(mean(F.col("umidade_rel_horaria_pct"))).alias("umidade_media"),
-            or_zero(mean(F.col("pressao_estacao_mb"))).alias("pressao_media"),
-            or_zero(mean(F.col("vento_velocidade_ms"))).alias("vento_medio"),
+            or_zero(mean("temperatura_ar_c")).alias("temp_media"),
+            or_zero(mean("umidade_rel_horaria_pct")).alias("umidade_media"),
+            or_zero(mean("pressao_estacao_mb")).alias("pressao_media"),
+            or_zero(mean("vento_velocidade_ms")).alias("vento_medio"),
         )
     )
 
@@ -149,15 +149,15 @@ def station_statistics(observations: DataFrame, stations: DataFrame) -> DataFram
             F.max("timestamp_utc").alias("data_fim"),
             F.count_if(F.col(CLASS) != S.NONE).alias("registros_com_chuva"),
             *_class_counts({c: f"registros_chuva_{c}" for c in S.RAINY_CLASSES}),
-            mean(F.col("precipitacao_mm")).alias("precip_media"),
+            mean("precipitacao_mm").alias("precip_media"),
             F.max("precipitacao_mm").alias("precip_max"),
             total("precipitacao_mm").alias("precip_total"),
-            mean(F.col("temperatura_ar_c")).alias("temp_media"),
+            mean("temperatura_ar_c").alias("temp_media"),
             F.max("temperatura_ar_c").alias("temp_max"),
             F.min("temperatura_ar_c").alias("temp_min"),
-            mean(F.col("umidade_rel_horaria_pct")).alias("umidade_media"),
-            mean(F.col("pressao_estacao_mb")).alias("pressao_media"),
-            mean(F.col("vento_velocidade_ms")).alias("vento_medio"),
+            mean("umidade_rel_horaria_pct").alias("umidade_media"),
+            mean("pressao_estacao_mb").alias("pressao_media"),
+            mean("vento_velocidade_ms").alias("vento_medio"),
             F.max("vento_rajada_max_ms").alias("vento_rajada_max"),
         )
     )
@@ -176,7 +176,7 @@ def class_share_by_station(observations: DataFrame, stations: DataFrame) -> Data
         .groupBy("codigo_wmo", CLASS)
         .agg(
             F.count("*").alias("total_registros"),
-            mean(F.col("precipitacao_mm")).alias("precip_media"),
+            mean("precipitacao_mm").alias("precip_media"),
             F.max("precipitacao_mm").alias("precip_max"),
         )
     )
@@ -215,7 +215,7 @@ def monthly_by_class(observations: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("total_registros"),
             total("precipitacao_mm").alias("precip_total_mes"),
-            mean(F.col("precipitacao_mm")).alias("precip_media_mes"),
+            mean("precipitacao_mm").alias("precip_media_mes"),
             F.max("precipitacao_mm").alias("precip_max_mes"),
             F.countDistinct("codigo_wmo").alias("num_estacoes"),
         )
@@ -229,12 +229,12 @@ def class_weather(observations: DataFrame) -> DataFrame:
         .groupBy(CLASS)
         .agg(
             F.count("*").alias("total_registros"),
-            mean(F.col("temperatura_ar_c")).alias("temp_media"),
-            mean(F.col("umidade_rel_horaria_pct")).alias("umidade_media"),
-            mean(F.col("pressao_estacao_mb")).alias("pressao_media"),
-            mean(F.col("vento_velocidade_ms")).alias("vento_medio"),
-            mean(F.col("radiacao_global_kjm2")).alias("radiacao_media"),
-            mean(F.col("precipitacao_mm")).alias("precip_media"),
+            mean("temperatura_ar_c").alias("temp_media"),
+            mean("umidade_rel_horaria_pct").alias("umidade_media"),
+            mean("pressao_estacao_mb").alias("pressao_media"),
+            mean("vento_velocidade_ms").alias("vento_medio"),
+            mean("radiacao_global_kjm2").alias("radiacao_media"),
+            mean("precipitacao_mm").alias("precip_media"),
         )
     )
 
@@ -248,10 +248,10 @@ def general_summary(observations: DataFrame) -> DataFrame:
         F.min("timestamp_utc").alias("data_inicio"),
         F.max("timestamp_utc").alias("data_fim"),
         *_class_counts({c: f"total_{c}" for c in S.CLASSES}),
-        or_zero(mean(F.col("precipitacao_mm"))).alias("precip_media_geral"),
+        or_zero(mean("precipitacao_mm")).alias("precip_media_geral"),
         or_zero(F.max("precipitacao_mm")).alias("precip_max_geral"),
-        or_zero(mean(F.col("temperatura_ar_c"))).alias("temp_media_geral"),
-        or_zero(mean(F.col("umidade_rel_horaria_pct"))).alias("umidade_media_geral"),
+        or_zero(mean("temperatura_ar_c")).alias("temp_media_geral"),
+        or_zero(mean("umidade_rel_horaria_pct")).alias("umidade_media_geral"),
     )
 
 
@@ -261,11 +261,11 @@ def heat_map(observations: DataFrame) -> DataFrame:
         classified(observations)
         .groupBy("codigo_wmo", _day().alias("data"), CLASS)
         .agg(
-            mean(F.col("precipitacao_mm")).alias("precip_media"),
-            mean(F.col("temperatura_ar_c")).alias("temp_media"),
-            mean(F.col("umidade_rel_horaria_pct")).alias("umidade_media"),
-            mean(F.col("pressao_estacao_mb")).alias("pressao_media"),
-            mean(F.col("vento_velocidade_ms")).alias("vento_medio"),
+            mean("precipitacao_mm").alias("precip_media"),
+            mean("temperatura_ar_c").alias("temp_media"),
+            mean("umidade_rel_horaria_pct").alias("umidade_media"),
+            mean("pressao_estacao_mb").alias("pressao_media"),
+            mean("vento_velocidade_ms").alias("vento_medio"),
         )
     )
 
@@ -317,7 +317,7 @@ def prediction_statistics(predictions: DataFrame) -> DataFrame:
         *[F.count_if(predicted == c).alias(f"predicoes_{c}") for c in S.CLASSES],
         F.countDistinct("modelo_usado").alias("modelos_utilizados"),
         *[
-            or_zero(mean(F.col(f"probabilidade_{c}"))).alias(f"prob_media_{c}")
+            or_zero(mean(f"probabilidade_{c}", 4, 5)).alias(f"prob_media_{c}")
             for c in reversed(S.CLASSES)
         ],
     )

@@ -243,7 +243,18 @@ OBSERVATIONS = _table(
 )
 
 STORED_STATIONS = T.StructType([*STATIONS.fields, T.StructField(STATION_PARTITION, T.IntegerType())])
-STORED_OBSERVATIONS = T.StructType([*OBSERVATIONS.fields, T.StructField(MONTH_PARTITION, T.DateType())])
+
+# Beside a stored observation: of every measure that a stream delivered, which
+# delivery its value comes from.
+DELIVERY = T.StructType([T.StructField("seq", T.LongType()), T.StructField("pos", T.IntegerType())])
+DELIVERIES = "entregas"
+STORED_OBSERVATIONS = T.StructType(
+    [
+        *OBSERVATIONS.fields,
+        T.StructField(DELIVERIES, T.StructType([T.StructField(m, DELIVERY) for m in TELEMETRY_KEYS.values()])),
+        T.StructField(MONTH_PARTITION, T.DateType()),
+    ]
+)
 
 PREDICTIONS = _table(
     "id bigint, timestamp_utc timestamp_ntz, codigo_wmo string, estacao_nome string, "

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +56,21 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has been written to yet."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and a maker of paths below it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    root = path.rstrip("/")
+    return make(root).getFileSystem(spark._jsc.hadoopConfiguration()), lambda *parts: make("/".join([root, *parts]))
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh path under the shared folder whose content is deleted in the end."""
+    path = fresh_path(spark, name)
+    try:
+        yield path
+    finally:
+        system, below = file_system(spark, path)
+        system.delete(below(), True)

@@ -87,6 +87,18 @@ def wide_records(all_points: DataFrame) -> DataFrame:
     return all_points.groupBy("device_id", "ts").agg(*columns)
 
 
+def delivered_records(all_points: DataFrame) -> DataFrame:
+    """As ``wide_records``, but each key is (seq, pos, value) of its last delivery.
+
+    The maximum of these is associative: records of parts of the points, merged
+    by maximum, are the record of all of them.
+    """
+    order = F.struct("seq", "pos", "value")
+    return all_points.groupBy("device_id", "ts").agg(
+        *[F.max(F.when(F.col("key") == key, order)).alias(key) for key in S.TELEMETRY_KEYS]
+    )
+
+
 def station_code(name: Column, attributes: Column) -> Column:
     """The code attribute, else the second part of the name.
 
@@ -127,6 +139,30 @@ def observations(records: DataFrame, devices: DataFrame) -> DataFrame:
     )
 
 
+def deliveries(records: DataFrame, devices: DataFrame) -> DataFrame:
+    """Delivered records as parts of observations: every measure is (seq, pos, valor) or NULL."""
+    timed = with_devices(records, devices).withColumn("timestamp_utc", from_epoch_ms(F.col("ts")))
+    measures = [
+        F.when(
+            F.col(key).isNotNull(),
+            F.struct(F.col(key)["seq"].alias("seq"), F.col(key)["pos"].alias("pos"), F.col(key)["value"].try_cast(S.MEASURES[m]).alias("valor")),
+        ).alias(m)
+        for key, m in S.TELEMETRY_KEYS.items()
+    ]
+    day, clock = F.to_date("timestamp_utc"), clock_text(F.col("timestamp_utc"))
+    return timed.select("codigo_wmo", day.alias("data"), clock.alias("hora_utc"), "timestamp_utc", *measures)
+
+
+def records_without_station(records: DataFrame, devices: DataFrame) -> DataFrame:
+    """Device and time of records whose device is not listed or has no station code, with the reason."""
+    listed = devices.select(
+        "device_id", F.lit(True).alias("_listed"), station_code(F.col("name"), F.col("attributes")).alias("_code")
+    )
+    left = records.select("device_id", "ts").join(listed, "device_id", "left").where(F.col("_code").isNull())
+    reason = F.when(F.col("_listed"), "no station code").otherwise("unknown device")
+    return left.select("device_id", "ts", reason.alias("motivo"))
+
+
 def stations(records: DataFrame, devices: DataFrame) -> DataFrame:
     """Stations behind the records, with the telemetry path's defaults.
 

@@ -34,7 +34,7 @@ def half_hour_stream(observations: DataFrame, measure: str, width: str = "30 min
     timed = deduplicated(with_event_time(measured(classified(observations), measure)))
     return (
         timed.groupBy(F.window("_event_time", width).alias("_window"), "intensidade_chuva")
-        .agg(mean(F.col(measure)).alias("valor"), F.count("*").alias("registros"))
+        .agg(mean(measure).alias("valor"), F.count("*").alias("registros"))
         .select(
             F.col("_window.start").cast("timestamp_ntz").alias("time"), "intensidade_chuva", "valor", "registros"
         )

@@ -84,7 +84,7 @@ def _station_loads(spark: SparkSession, folder: str) -> DataFrame:
     table = fresh_path(spark, "stations")
     first = _station_key(est(spark, folder)).withColumn("data_fundacao", F.lit(None).cast("date"))
     upsert.upsert_stations(spark, table, first, NOW)
-    renamed = first.where(F.col("altitude") > 300).withColumn("nome", F.upper("nome"))
+    renamed = first.where(F.col("altitude") > 150).withColumn("nome", F.upper("nome"))
     upsert.upsert_stations(spark, table, renamed, "2024-02-02 00:00:00")
     return upsert.read_stations(spark, table).select(
         "codigo_wmo", "regiao", "uf", "nome", "latitude", "longitude", "altitude", "created_at", "updated_at"
@@ -113,19 +113,30 @@ def _prediction_log(spark: SparkSession, folder: str) -> DataFrame:
     return log.groupBy("intensidade_predita", "created_at").agg(F.count("*").alias("registros"))
 
 
-def _streamed(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents streamed into a fresh observation table."""
-    table = fresh_path(spark, "streamed")
+def _unknown_stations(spark: SparkSession, folder: str) -> DataFrame:
+    """All events loaded while only high stations are known; where each row went."""
+    table, rejects = fresh_path(spark, "observations"), fresh_path(spark, "rejects")
+    known = est(spark, folder).where(F.col("altitude") > 150)
+    upsert.upsert_observations(spark, table, _hourly(spark, folder, "events"), NOW, ["id"], stations=known, rejects=rejects)
+    stored = upsert.read_observations(spark, table).select("codigo_wmo", "data", "hora_utc", F.lit("tabela").alias("destino"))
+    rejected = spark.read.parquet(rejects).select("codigo_wmo", "data", "hora_utc", F.lit("rejeitada").alias("destino"))
+    return stored.unionByName(rejected)
+
+
+def _streamed(spark: SparkSession, folder: str, listed: DataFrame | None = None) -> dict[str, str]:
+    """All documents streamed, then older drafts, into fresh tables; several batches."""
+    tables = {name: fresh_path(spark, f"streamed-{name}") for name in ("table", "stations", "rejects")}
     query = ingest.start_ingest(
         spark,
-        landing.telemetry_documents(spark, folder),
-        devices(spark, folder),
-        table,
-        fresh_path(spark, "checkpoint"),
+        landing.telemetry_deliveries(spark, folder),
+        devices(spark, folder) if listed is None else listed,
+        checkpoint=fresh_path(spark, "checkpoint"),
         now=lambda: NOW,
+        files_per_batch=5,
+        **tables,
     )
     query.awaitTermination()
-    return upsert.read_observations(spark, table)
+    return tables
 
 
 def _stream_means(spark: SparkSession, folder: str, copies: int) -> DataFrame:
@@ -245,12 +256,22 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY codigo_wmo, data, clock ORDER BY
             extra=LAST_HOUR,
         ),
     ),
+    "snk02_unknown_stations": Query(
+        _unknown_stations,
+        sql(
+            f"""SELECT DISTINCT codigo_wmo, {text('data')} AS data, clock AS hora_utc, 'tabela' AS destino
+FROM hr WHERE codigo_wmo IN (SELECT codigo_wmo FROM est WHERE altitude > 150)
+UNION ALL SELECT codigo_wmo, {text('data')}, clock, 'rejeitada'
+FROM hr WHERE codigo_wmo NOT IN (SELECT codigo_wmo FROM est WHERE altitude > 150)""",
+            extra=LAST_HOUR,
+        ),
+    ),
     "snk01_station_upsert": Query(
         _station_loads,
-        sql(f"""SELECT codigo_wmo, regiao, uf, CASE WHEN altitude > 300 THEN upper(nome) ELSE nome END AS nome,
+        sql(f"""SELECT codigo_wmo, regiao, uf, CASE WHEN altitude > 150 THEN upper(nome) ELSE nome END AS nome,
   {dbl('latitude')} AS latitude, {dbl('longitude')} AS longitude, {dbl('altitude')} AS altitude,
   TIMESTAMP '2024-02-01 00:00:00' AS created_at,
-  CASE WHEN altitude > 300 THEN TIMESTAMP '2024-02-02 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END AS updated_at
+  CASE WHEN altitude > 150 THEN TIMESTAMP '2024-02-02 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END AS updated_at
 FROM est"""),
     ),
     "snk03_timestamp_from_parts": Query(
@@ -391,12 +412,26 @@ FROM (SELECT e.codigo_wmo, COUNT(pt.id) AS n FROM est e LEFT JOIN pt ON pt.codig
         ),
     ),
     "st01_streamed_observations": Query(
-        lambda s, d: _streamed(s, d).drop("id", "created_at", S.MONTH_PARTITION, *UNSENT),
+        lambda s, d: upsert.read_observations(s, _streamed(s, d)["table"]).drop("id", "created_at", S.MONTH_PARTITION, *UNSENT),
         sql(
             f"""SELECT *, {RULE} AS intensidade_chuva FROM ({DEVICE_OBS}) AS w""",
             extra=HOUR_POINTS,
         ),
     ),
+    "st01_streamed_stations": Query(
+        lambda s, d: upsert.read_stations(s, _streamed(s, d)["stations"]).drop("data_fundacao", "created_at"),
+        sql(f"""SELECT codigo_wmo, 'NORDESTE' AS regiao, uf, nome, {dbl('latitude')} AS latitude, {dbl('longitude')} AS longitude,
+  {dbl('altitude')} AS altitude, TIMESTAMP '{NOW}' AS updated_at FROM est WHERE codigo_wmo IN (SELECT codigo_wmo FROM obs)"""),
+    ),
+    "st01_stream_rejects": Query(
+        lambda s, d: s.read.parquet(
+            _streamed(s, d, devices(s, d).where(F.substring("device_id", 5, 20).cast("bigint") % 7 != 0))["rejects"]
+        ).select("device_id", "ts", "motivo").distinct(),
+        sql(
+            "SELECT DISTINCT device_id, ts, 'unknown device' AS motivo FROM pt WHERE CAST(codigo_wmo AS BIGINT) % 7 = 0",
+            extra=HOUR_POINTS,
+        ),
+    ),
     "st02_stream_half_hours": Query(lambda s, d: _stream_means(s, d, 1), STREAM_SQL),
     "st03_stream_deduplicated": Query(lambda s, d: _stream_means(s, d, 2), STREAM_SQL),
 }

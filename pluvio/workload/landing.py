@@ -133,6 +133,21 @@ def telemetry_documents(spark: SparkSession, folder: str) -> str:
     return _once(spark, folder, "telemetry", write)
 
 
+def telemetry_deliveries(spark: SparkSession, folder: str) -> str:
+    """The documents, and behind them drafts of every second one: older by number, with other values."""
+
+    def write(path: str) -> None:
+        documents = spark.read.schema(S.TELEMETRY_DOCUMENTS).json(telemetry_documents(spark, folder))
+        documents.write.json(path)
+        draft = F.transform_values(
+            "telemetry", lambda _, items: F.transform(items, lambda p: F.struct(p["ts"].alias("ts"), F.lit("0.5").alias("value")))
+        )
+        older = documents.where(F.col("seq") % 2 == 0).withColumns({"telemetry": draft, "seq": F.col("seq") - 1_000_000_000})
+        older.coalesce(4).write.mode("append").json(path)
+
+    return _once(spark, folder, "deliveries", write)
+
+
 def device_rows(spark: SparkSession, folder: str) -> DataFrame:
     """One device per station; attributes as an object or a list of pairs."""
     station = mapping.stations(spark, folder)
