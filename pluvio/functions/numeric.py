@@ -30,7 +30,7 @@ def total(value: Column | str, scale: int = 2, digits: int | None = None) -> Col
         value = F.col(value)
     if digits is not None and digits <= 8:
         return F.sum(value.cast(f"decimal(8,{scale})")).cast(f"decimal(28,{scale})")
-    return F.sum(value.cast(f"decimal(28,{scale})"))
+    return F.sum(value.cast(f"decimal({max(28, digits or 0)},{scale})"))
 
 
 def half_up_ratio(numerator: Column, denominator: Column) -> Column:

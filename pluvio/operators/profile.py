@@ -62,26 +62,14 @@ def _with_rows(values: DataFrame, measures: Sequence[str], per_measure: DataFram
 
 
 def _distribution(df: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Counts, moments, extremes and quartiles per measure.
-
-    Squares are summed about the mean, which a pass before has found, so values
-    far from zero lose nothing.
-    """
+    """Counts, moments, extremes and quartiles per measure."""
     values = typed(df, measures)
-    span = spans(values, measures).withColumn("media", F.try_divide(F.col("_sum").cast("double"), F.col("_total")))
-    away = F.col("valor").cast("double") - F.col("media")
-    # The sum of distances is what rounding the mean has left.
-    centred = _with_rows(values, measures, span, "media").groupBy("variavel").agg(
-        F.sum(away * away).alias("_squares"), F.sum(away).alias("_away")
-    )
-    found = with_quantiles(values, measures, QUARTILES, span).join(F.broadcast(centred), "variavel", "left")
-    spread = F.col("_squares") - F.try_divide(F.col("_away") * F.col("_away"), F.col("_total"))
-    return found.select(
+    return with_quantiles(values, measures, QUARTILES, spans(values, measures)).select(
         "variavel",
         F.col("_total").alias("contagem"),
         F.col("_gaps").alias("nulos"),
-        "media",
-        F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), F.col("_total") - 1)).alias("desvio"),
+        F.try_divide(F.col("_sum").cast("double"), F.col("_total")).alias("media"),
+        F.col("_deviation").alias("desvio"),
         F.col("_low").cast("double").alias("minimo"),
         *QUARTILES,
         F.col("_high").cast("double").alias("maximo"),
