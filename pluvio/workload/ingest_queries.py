@@ -39,8 +39,16 @@ RULE = """CASE WHEN precipitacao_mm IS NULL OR precipitacao_mm = 0 THEN 'sem_chu
   WHEN precipitacao_mm > 10 THEN 'forte' ELSE 'sem_chuva' END"""
 
 
-def files(spark: SparkSession, folder: str) -> station_csv.StationFiles:
-    return station_csv.read_station_files(spark, landing.station_files(spark, folder))
+def files(spark: SparkSession, folder: str, faults: bool = False) -> station_csv.StationFiles:
+    return station_csv.read_station_files(spark, landing.station_files(spark, folder, faults))
+
+
+def _rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every rejected row of the folder with faults, by the id its line carries."""
+    rows = files(spark, folder, faults=True).rejected_rows
+    marks = [r"^data (\d+)", r"hora (\d+)", r";9999999(\d+)", r";(\d+)$"]
+    found = F.coalesce(*[F.nullif(F.regexp_extract("texto", mark, 1), F.lit("")) for mark in marks])
+    return rows.select(found.cast("bigint").alias("id"), "codigo_wmo", "motivo")
 
 
 def points(spark: SparkSession, folder: str) -> DataFrame:
@@ -193,6 +201,33 @@ QUERIES = {
         lambda s, d: files(s, d).observations.drop("arquivo", "bloco", "linha", "intensidade_chuva"),
         sql(f"""SELECT codigo_wmo, {text('data')} AS data, {MINUTE} AS hora_utc,
   date_trunc('minute', timestamp_utc) AS timestamp_utc, {MEASURES} FROM obs"""),
+    ),
+    "src03_width_rules": Query(
+        lambda s, d: files(s, d, faults=True).observations.select("codigo_wmo", "data", "hora_utc", "precipitacao_mm", "vento_velocidade_ms"),
+        sql(f"""SELECT codigo_wmo, {text('data')} AS data, {MINUTE} AS hora_utc,
+  CASE WHEN id % 8 = {landing.SHORT} AND CAST(codigo_wmo AS BIGINT) % 2 = 1 THEN NULL ELSE {dbl('precipitacao_mm')} END AS precipitacao_mm,
+  CASE WHEN id % 8 = {landing.SHORT} AND CAST(codigo_wmo AS BIGINT) % 2 = 0 THEN NULL ELSE {dbl('vento_velocidade_ms')} END AS vento_velocidade_ms
+FROM obs WHERE id % 8 NOT IN ({landing.WIDE}, {landing.DATELESS}, {landing.HOURLESS}, {landing.LARGE}, {landing.BLANK})"""),
+    ),
+    "src05_rejected_files": Query(
+        lambda s, d: station_csv.read_station_files(s, landing.broken_files(s, d)).files.select(_folder_name().alias("arquivo"), "erro"),
+        sql("""SELECT 'E' || codigo_wmo AS arquivo, CASE CAST(codigo_wmo AS BIGINT) % 4 WHEN 0 THEN 'no data header'
+  WHEN 1 THEN 'no station code before the header' WHEN 2 THEN 'bad coordinate' END AS erro FROM est
+WHERE codigo_wmo IN (SELECT codigo_wmo FROM obs)"""),
+    ),
+    "src07_rejected_rows": Query(
+        _rejected_rows,
+        sql(f"""SELECT id, codigo_wmo, CASE id % 8 WHEN {landing.WIDE} THEN '{station_csv.TOO_WIDE}' WHEN {landing.DATELESS} THEN '{station_csv.BAD_DATE}'
+  WHEN {landing.HOURLESS} THEN '{station_csv.BAD_HOUR}' ELSE '{station_csv.OUT_OF_RANGE}' END AS motivo
+FROM obs WHERE id % 8 IN ({landing.WIDE}, {landing.DATELESS}, {landing.HOURLESS}, {landing.LARGE})"""),
+    ),
+    "snk07_report_with_rejects": Query(
+        lambda s, d: files(s, d, faults=True).report().groupBy("estacao", "erro").agg(
+            F.sum("registros").alias("registros"), F.sum("rejeitados").alias("rejeitados")
+        ),
+        sql(f"""SELECT e.nome AS estacao, CAST(NULL AS VARCHAR) AS erro, COUNT(*) FILTER (WHERE id % 8 IN ({landing.SHORT}, 6, 7)) AS registros,
+  COUNT(*) FILTER (WHERE id % 8 IN ({landing.WIDE}, {landing.DATELESS}, {landing.HOURLESS}, {landing.LARGE})) AS rejeitados
+FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo GROUP BY e.nome"""),
     ),
     "src04_file_stations": Query(
         lambda s, d: _station_key(files(s, d).stations).distinct(),

@@ -44,23 +44,42 @@ def _number(name: str) -> F.Column:
     return F.coalesce(F.regexp_replace(F.translate(F.col(name).cast("string"), ".", ","), "^0,", ","), F.lit(""))
 
 
-def station_lines(observations: DataFrame, stations: DataFrame) -> DataFrame:
-    """All lines of all station files with their file key and order."""
+#: Kinds of lines by id modulo eight in the folder with faults; all other ids have plain rows.
+WIDE, SHORT, DATELESS, HOURLESS, LARGE, BLANK = range(6)
+#: Cells that a short row keeps.
+KEPT = 5
+
+
+def faulty(cells: F.Column, day: F.Column, clock: F.Column) -> F.Column:
+    """A row's line with the fault of its id; faults carry the id, so a reject can be told."""
+    kind, own = F.col("id") % 8, F.col("id").cast("string")
+    dew_point = list(S.MEASURES).index("temperatura_orvalho_c")
+    place = F.when(_accented(), dew_point).otherwise(len(S.MEASURES) - 1 - dew_point)
+    large = F.concat(F.lit("9999999"), own)
+    changed = F.when(kind == LARGE, F.transform(cells, lambda c, i: F.when(i == place, large).otherwise(c))).when(kind == SHORT, F.slice(cells, 1, KEPT))
+    first = F.when(kind == DATELESS, F.concat(F.lit("data "), own)).otherwise(day)
+    second = F.when(kind == HOURLESS, F.concat(F.lit("hora "), own)).otherwise(clock)
+    tail = F.when(kind == WIDE, F.concat(F.lit(";"), own)).when(kind != SHORT, F.lit(""))
+    line = F.concat_ws(";", first, second, F.coalesce(changed, cells), tail)
+    return F.when(kind == BLANK, F.lit("  ")).otherwise(line)
+
+
+def station_lines(observations: DataFrame, stations: DataFrame, faults: bool = False) -> DataFrame:
+    """All lines of all station files with their file key and order; with ``faults`` as ``faulty`` says."""
     rows = observations.withColumns(
         {"mes": F.date_format("timestamp_utc", "yyyy-MM"), "parte": F.floor(F.col("id") / ROWS_PER_FILE)}
     )
     keys = ["codigo_wmo", "mes", "parte"]
     measures = list(S.MEASURES)
-    cells = F.concat_ws(";", *[_number(m) for m in measures])
-    reverse = F.concat_ws(";", *[_number(m) for m in reversed(measures)])
+    numbers = F.array(*[_number(m) for m in measures])
+    rows = rows.withColumn("_cells", numbers).withColumn("_cells", F.when(_accented(), F.col("_cells")).otherwise(F.reverse("_cells")))
+    day = F.date_format("timestamp_utc", "yyyy/MM/dd")
     clock = F.concat(F.translate(F.substring("hora_utc", 1, 5), ":", ""), F.lit(" UTC"))
     data = rows.select(
         *keys,
         F.lit(100).alias("ordem"),
         "id",
-        F.concat_ws(
-            ";", F.date_format("timestamp_utc", "yyyy/MM/dd"), clock, F.when(_accented(), cells).otherwise(reverse), F.lit("")
-        ).alias("linha"),
+        (faulty(F.col("_cells"), day, clock) if faults else F.concat_ws(";", day, clock, F.col("_cells"), F.lit(""))).alias("linha"),
     )
     accented = ";".join(S.CSV_TITLES[m][0] for m in measures)
     plain = ";".join(S.CSV_TITLES[m][1] for m in reversed(measures))
@@ -83,23 +102,49 @@ def station_lines(observations: DataFrame, stations: DataFrame) -> DataFrame:
     return head.unionByName(data)
 
 
-def station_files(spark: SparkSession, folder: str) -> str:
+def _write_files(lines: DataFrame, path: str) -> None:
+    (
+        lines.repartition("arquivo")
+        .sortWithinPartitions("arquivo", "ordem", "id")
+        .select("arquivo", "linha")
+        .write.partitionBy("arquivo")
+        .option("sep", "\u0001")
+        .option("encoding", "ISO-8859-1")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .csv(path)
+    )
+
+
+def station_files(spark: SparkSession, folder: str, faults: bool = False) -> str:
     """Latin-1 station files of all events; returns their folder."""
 
     def write(path: str) -> None:
-        lines = station_lines(mapping.raw_observations(spark, folder), mapping.stations(spark, folder))
-        (
-            lines.withColumn("arquivo", F.concat_ws("_", F.lit("ESTACAO"), "codigo_wmo", "mes", "parte"))
-            .repartition("arquivo")
-            .sortWithinPartitions("arquivo", "ordem", "id")
-            .select("arquivo", "linha")
-            .write.partitionBy("arquivo")
-            .option("sep", "\u0001")
-            .option("encoding", "ISO-8859-1")
-            .csv(path)
+        lines = station_lines(mapping.raw_observations(spark, folder), mapping.stations(spark, folder), faults)
+        _write_files(lines.withColumn("arquivo", F.concat_ws("_", F.lit("ESTACAO"), "codigo_wmo", "mes", "parte")), path)
+
+    return _once(spark, folder, "faulty-files" if faults else "station-files", write)
+
+
+def broken_files(spark: SparkSession, folder: str) -> str:
+    """One file per station with events: by code without header, without code, with a latitude that is none, or whole."""
+
+    def write(path: str) -> None:
+        kind = F.col("codigo_wmo").cast("bigint") % 4
+        header = ";".join(["Data", "Hora UTC", *[S.CSV_TITLES[m][0] for m in S.MEASURES], ""])
+        top = F.array(
+            F.concat(F.lit("ESTACAO:;"), "nome"),
+            F.when(kind != 1, F.concat(F.lit("CODIGO (WMO):;"), "codigo_wmo")),
+            F.concat(F.lit("LATITUDE:;"), F.when(kind == 2, F.lit("norte")).otherwise(F.translate(F.col("latitude").cast("string"), ".", ","))),
+            F.when(kind != 0, F.lit(header)),
+            F.lit("2024/01/01;0000 UTC;1,5;"),
         )
+        active = mapping.raw_observations(spark, folder).select("codigo_wmo").distinct()
+        lines = mapping.stations(spark, folder).join(active, "codigo_wmo").select("codigo_wmo", F.posexplode(top).alias("ordem", "linha")).where(F.col("linha").isNotNull())
+        named = lines.withColumns({"arquivo": F.concat(F.lit("E"), "codigo_wmo"), "id": F.lit(0)})
+        _write_files(named.coalesce(8), path)
 
-    return _once(spark, folder, "station-files", write)
+    return _once(spark, folder, "broken-files", write)
 
 
 def telemetry_points(spark: SparkSession, folder: str) -> DataFrame:
