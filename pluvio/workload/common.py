@@ -12,8 +12,12 @@ from pyspark.sql import types as T
 from pluvio.functions.rainfall import rainfall_class
 from pluvio.workload import mapping
 
-# A time range wide enough for every row of every table.
-START, END = "1970-01-01 00:00:00", "2099-12-31 23:59:59"
+# The dashboard's time range: it cuts rows off both ends of a table.
+RANGES = {
+    "events": ("2024-01-02 06:00:00", "2024-01-29 18:30:00"),
+    "orders": ("1995-03-15 00:00:00", "2001-05-10 00:00:00"),
+}
+START, END = RANGES["events"]
 
 
 class Query(NamedTuple):
@@ -55,9 +59,20 @@ BASES = {"events": mapping.EVENT_BASE, "orders": mapping.ORDER_BASE}
 EST_SQL = mapping.STATION_SQL.replace("{ts}", "TIMESTAMP")
 
 
-def sql(body: str, table: str = "events", extra: str = "") -> str:
+def between(table: str) -> str:
+    start, end = RANGES[table]
+    return f"timestamp_utc BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}'"
+
+
+def sql(body: str, table: str = "events", extra: str = "", where: str = "TRUE") -> str:
     """A statement over ``obs`` and ``est``, the mapped tables."""
-    return f"WITH obs AS ({mapping.check_observation_sql(BASES[table])}), est AS ({EST_SQL}){extra}\n{body}"
+    rows = f"SELECT * FROM ({mapping.check_observation_sql(BASES[table])}) AS every_row WHERE {where}"
+    return f"WITH obs AS ({rows}), est AS ({EST_SQL}){extra}\n{body}"
+
+
+def ranged(body: str, table: str = "events", extra: str = "") -> str:
+    """The same over the observations inside the dashboard's time range."""
+    return sql(body, table, extra, between(table))
 
 
 def dbl(expression: str) -> str:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from pluvio import schema as S
 from pluvio.functions.timeparts import epoch_ms, from_epoch_ms
-from pluvio.operators import profile
+from pluvio.operators import filters, profile
+from pluvio.plans import dashboard
 from pluvio.session import fresh_path
 from pluvio.sinks import landing as sink
 from pluvio.sinks import upsert
@@ -15,7 +16,7 @@ from pluvio.sources import station_csv, telemetry
 from pluvio.streaming import ingest, windows
 from pluvio.workload import landing, mapping
 from pluvio.workload import predictions as pred_map
-from pluvio.workload.common import Query, dbl, est, obs, sql, text
+from pluvio.workload.common import RANGES, Query, between, dbl, est, obs, sql, text
 
 NOW = "2024-02-01 00:00:00"
 MEASURES = ", ".join(f"{dbl(m)} AS {m}" for m in S.MEASURES)
@@ -121,6 +122,13 @@ def _prediction_log(spark: SparkSession, folder: str) -> DataFrame:
     return log.groupBy("intensidade_predita", "created_at").agg(F.count("*").alias("registros"))
 
 
+def _stored_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders as observations, upserted into a table of some eighty months."""
+    table = fresh_path(spark, "observations")
+    upsert.upsert_observations(spark, table, mapping.raw_observations(spark, folder, "orders"), NOW, ["id"])
+    return upsert.read_observations(spark, table)
+
+
 def _unknown_stations(spark: SparkSession, folder: str) -> DataFrame:
     """All events loaded while only high stations are known; where each row went."""
     table, rejects = fresh_path(spark, "observations"), fresh_path(spark, "rejects")
@@ -192,7 +200,30 @@ LAST_HOUR = ", hr AS (SELECT *, substr(hora_utc, 1, 2) || ':00:00' AS clock FROM
 DEVICE_OBS = f"""SELECT codigo_wmo, {text('CAST(hora AS DATE)')} AS data, strftime(hora, '%H:%M:%S') AS hora_utc,
   hora AS timestamp_utc, {WIDE_MEASURES} FROM pt GROUP BY codigo_wmo, hora"""
 
+STORED_CTE = f""", stored AS (SELECT * EXCLUDE (intensidade_chuva, rn), {RULE} AS intensidade_chuva FROM (SELECT *, ROW_NUMBER() OVER (
+  PARTITION BY codigo_wmo, data, hora_utc ORDER BY id DESC) AS rn FROM obs) AS r WHERE rn = 1 AND {between('orders')})"""
+
 QUERIES = {
+    "prj07_stored_monthly_total": Query(
+        lambda s, d: dashboard.monthly_total(_stored_orders(s, d), *RANGES["orders"]),
+        sql(
+            f"""SELECT {text("CAST(date_trunc('month', timestamp_utc) AS DATE)")} AS time, intensidade_chuva,
+  {dbl('SUM(precipitacao_mm)')} AS value, COUNT(*) AS total_registros
+FROM stored GROUP BY date_trunc('month', timestamp_utc), intensidade_chuva""",
+            "orders",
+            STORED_CTE,
+        ),
+    ),
+    "prj07_stored_range": Query(
+        lambda s, d: filters.in_range(_stored_orders(s, d), *RANGES["orders"]).select(
+            "codigo_wmo", "timestamp_utc", "precipitacao_mm", "intensidade_chuva"
+        ),
+        sql(
+            f"SELECT codigo_wmo, timestamp_utc, {dbl('precipitacao_mm')} AS precipitacao_mm, intensidade_chuva FROM stored",
+            "orders",
+            STORED_CTE,
+        ),
+    ),
     "src01_station_file_list": Query(
         lambda s, d: station_csv.list_files(s, landing.station_files(s, d)).select(_folder_name().alias("arquivo")).distinct(),
         sql(f"SELECT DISTINCT {FILE_NAME} AS arquivo FROM obs"),

@@ -73,6 +73,30 @@ def _line(spark, folder):
     return line.select(*[F.col(c).cast("decimal(18,2)").alias(c) for c in LINE])
 
 
+#: Floating-point measures far from zero and near it, and the unit that both sides of a check use.
+FLOATS = {"longe": ("1000000000 + CAST(floor(value * 100) AS DOUBLE)", 1.0), "perto": ("CAST(floor(value * 100) AS DOUBLE) * 1e-12", 1e12)}
+MOMENTS = ["media", "desvio", "minimo", "p25", "p50", "p75", "maximo"]
+
+
+def _floats(spark, folder):
+    events = mapping.load(spark, folder, "events")["events"]
+    rows = events.select(*[F.expr(value).alias(name) for name, (value, _) in FLOATS.items()])
+    unit = F.lit(1.0)
+    for name, (_, scale) in FLOATS.items():
+        unit = F.when(F.col("variavel") == name, scale).otherwise(unit)
+    return profile.describe(rows, list(FLOATS)).withColumns({c: F.round(F.col(c) * unit, 3) for c in MOMENTS})
+
+
+def _floats_sql() -> str:
+    parts = []
+    for name, (value, scale) in FLOATS.items():
+        made = {"media": "AVG(v)", "desvio": "stddev_samp(v)", "minimo": "MIN(v)", "maximo": "MAX(v)"}
+        made |= {f"p{p}": f"quantile_cont(v, 0.{p:02d})" for p in (25, 50, 75)}
+        columns = ", ".join(f"round({made[c]} * {scale}, 3) AS {c}" for c in MOMENTS)
+        parts.append(f"SELECT '{name}' AS variavel, COUNT(v) AS contagem, {columns} FROM (SELECT {value} AS v FROM events) AS f")
+    return union(parts)
+
+
 TRAINING = [f for f in S.FEATURES if f in S.MEASURES]
 
 QUERIES = {
@@ -151,6 +175,7 @@ GROUP BY e.codigo_wmo, e.nome, e.uf"""),
         lambda s, d: _rounded(profile.describe(pred_map.predictions(s, d), PROBABILITIES), "desvio"),
         sql(_describe_sql(PROBABILITIES, "pred", 10_000), extra=pred_map.CTE),
     ),
+    "dq08_describe_floats": Query(_floats, _floats_sql()),
     "dq09_precipitation_summary": Query(
         lambda s, d: _rounded(profile.precipitation_summary(obs(s, d)), "desvio"),
         sql(f"""SELECT {avg(P)} AS media, {quantile(P, 0.5)} AS mediana, {dbl(f'MAX({P})')} AS maximo,

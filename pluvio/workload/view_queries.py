@@ -14,6 +14,7 @@ from pluvio.sources import extracts
 from pluvio.workload import predictions as pred_map
 from pluvio.workload.common import (
     END,
+    RANGES,
     START,
     Query,
     avg,
@@ -23,6 +24,7 @@ from pluvio.workload.common import (
     est,
     obs,
     pct2,
+    ranged,
     sql,
     text,
     total,
@@ -171,26 +173,26 @@ WHERE o.{C} IS NOT NULL""",
 CATALOGUE = {
     "q01_class_distribution": Query(
         lambda s, d: dashboard.class_distribution(obs(s, d), START, END),
-        sql(f"""SELECT {C}, COUNT(*) AS total_registros,
+        ranged(f"""SELECT {C}, COUNT(*) AS total_registros,
   {pct2('COUNT(*)', f'(SELECT COUNT(*) FROM obs WHERE {OK})')} AS percentual FROM obs WHERE {OK} GROUP BY {C}"""),
     ),
     "q02_rain_points": Query(
         lambda s, d: dashboard.rain_points(obs(s, d), START, END),
-        sql(f"SELECT timestamp_utc AS time, {dbl(P)} AS value, {C} FROM obs WHERE {OK}"),
+        ranged(f"SELECT timestamp_utc AS time, {dbl(P)} AS value, {C} FROM obs WHERE {OK}"),
     ),
     "q03a_class_by_station_code": Query(
         lambda s, d: dashboard.class_by_station_code(obs(s, d), est(s, d), START, END),
-        sql(f"""SELECT e.codigo_wmo AS estacao, {C}, COUNT(*) AS total_registros, {avg(P)} AS precip_media
+        ranged(f"""SELECT e.codigo_wmo AS estacao, {C}, COUNT(*) AS total_registros, {avg(P)} AS precip_media
 FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK} GROUP BY e.codigo_wmo, {C}"""),
     ),
     "q03b_class_by_short_name": Query(
         lambda s, d: dashboard.class_by_short_name(obs(s, d), est(s, d), START, END),
-        sql(f"""SELECT LEFT(e.nome, 15) AS estacao, {C}, COUNT(*) AS total_registros, {avg(P)} AS precip_media
+        ranged(f"""SELECT LEFT(e.nome, 15) AS estacao, {C}, COUNT(*) AS total_registros, {avg(P)} AS precip_media
 FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK} GROUP BY LEFT(e.nome, 15), {C}"""),
     ),
     "q03c_class_by_busiest_station": Query(
         lambda s, d: dashboard.class_by_busiest_station(obs(s, d), est(s, d), START, END),
-        sql(f"""SELECT e.codigo_wmo AS estacao, {C}, COUNT(*) AS total_registros, {avg(P)} AS precip_media
+        ranged(f"""SELECT e.codigo_wmo AS estacao, {C}, COUNT(*) AS total_registros, {avg(P)} AS precip_media
 FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK} AND e.codigo_wmo IN (
   SELECT codigo_wmo FROM (SELECT codigo_wmo, COUNT(*) AS n FROM obs GROUP BY codigo_wmo
     ORDER BY n DESC, codigo_wmo LIMIT 10) AS top)
@@ -198,21 +200,21 @@ GROUP BY e.codigo_wmo, {C}"""),
     ),
     "q04_station_heat_map": Query(
         lambda s, d: dashboard.station_heat_map(obs(s, d), est(s, d), START, END),
-        sql(f"""SELECT {DAY} AS time, e.codigo_wmo AS estacao, {avg(P)} AS value, {C}
+        ranged(f"""SELECT {DAY} AS time, e.codigo_wmo AS estacao, {avg(P)} AS value, {C}
 FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK} GROUP BY CAST(timestamp_utc AS DATE), e.codigo_wmo, {C}"""),
     ),
     "q05_daily_mean": Query(
         lambda s, d: dashboard.daily_mean(obs(s, d), START, END),
-        sql(f"""SELECT {DAY} AS time, {C}, {avg(P)} AS value, {dbl(f'MAX({P})')} AS max_precip,
+        ranged(f"""SELECT {DAY} AS time, {C}, {avg(P)} AS value, {dbl(f'MAX({P})')} AS max_precip,
   {dbl(f'MIN({P})')} AS min_precip FROM obs WHERE {OK} GROUP BY CAST(timestamp_utc AS DATE), {C}"""),
     ),
     "q06_daily_counts": Query(
         lambda s, d: dashboard.daily_counts(obs(s, d), START, END),
-        sql(f"SELECT {DAY} AS time, {C}, COUNT(*) AS value FROM obs WHERE {OK} GROUP BY CAST(timestamp_utc AS DATE), {C}"),
+        ranged(f"SELECT {DAY} AS time, {C}, COUNT(*) AS value FROM obs WHERE {OK} GROUP BY CAST(timestamp_utc AS DATE), {C}"),
     ),
     "q07_top_heavy_rain": Query(
         lambda s, d: dashboard.top_heavy_rain(obs(s, d), est(s, d), START, END),
-        sql(f"""SELECT e.nome AS estacao, COUNT(*) FILTER (WHERE {C} = 'forte') AS chuva_forte,
+        ranged(f"""SELECT e.nome AS estacao, COUNT(*) FILTER (WHERE {C} = 'forte') AS chuva_forte,
   COUNT(*) FILTER (WHERE {C} = 'moderada') AS chuva_moderada, COUNT(*) FILTER (WHERE {C} = 'leve') AS chuva_leve,
   {dbl(f'MAX({P})')} AS precip_maxima
 FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK} GROUP BY e.nome
@@ -220,24 +222,24 @@ HAVING COUNT(*) FILTER (WHERE {C} = 'forte') > 0 ORDER BY chuva_forte DESC, esta
     ),
     "q08_weather_by_time": Query(
         lambda s, d: dashboard.weather_by_time(obs(s, d), START, END),
-        sql(f"""SELECT timestamp_utc AS time, {C}, {avg(TEMP)} AS temperatura_media, {avg(P)} AS precipitacao_media,
+        ranged(f"""SELECT timestamp_utc AS time, {C}, {avg(TEMP)} AS temperatura_media, {avg(P)} AS precipitacao_media,
   {avg(H)} AS umidade_media FROM obs WHERE {OK} GROUP BY timestamp_utc, {C}"""),
     ),
     "q09_class_pie": Query(
         lambda s, d: dashboard.class_pie(obs(s, d), START, END),
-        sql(f"""SELECT {C}, COUNT(*) AS value,
+        ranged(f"""SELECT {C}, COUNT(*) AS value,
   {pct2('COUNT(*)', f'(SELECT COUNT(*) FROM obs WHERE {OK})')} AS percentual FROM obs WHERE {OK} GROUP BY {C}"""),
     ),
     "q10_station_table": Query(
         lambda s, d: dashboard.station_table(obs(s, d), est(s, d), START, END),
-        sql(f"""SELECT e.codigo_wmo, e.nome AS estacao, e.uf, COUNT(*) AS total_registros,
+        ranged(f"""SELECT e.codigo_wmo, e.nome AS estacao, e.uf, COUNT(*) AS total_registros,
   {each_class(COUNT_CLASS + ' AS {c}', S.CLASSES)}, {avg2(P)} AS precip_media, {dbl(f'MAX({P})')} AS precip_maxima,
   {avg2(TEMP)} AS temp_media, {avg2(H)} AS umidade_media, {avg2(PRESS)} AS pressao_media
 FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK} GROUP BY e.codigo_wmo, e.nome, e.uf"""),
     ),
     "q11_monthly_total": Query(
-        lambda s, d: dashboard.monthly_total(obs(s, d, "orders"), START, END),
-        sql(
+        lambda s, d: dashboard.monthly_total(obs(s, d, "orders"), *RANGES["orders"]),
+        ranged(
             f"""SELECT {MONTH} AS time, {C}, {dbl(f'SUM({P})')} AS value, COUNT(*) AS total_registros
 FROM obs WHERE {OK} GROUP BY date_trunc('month', timestamp_utc), {C}""",
             "orders",
@@ -245,49 +247,49 @@ FROM obs WHERE {OK} GROUP BY date_trunc('month', timestamp_utc), {C}""",
     ),
     "q12_daily_trend": Query(
         lambda s, d: dashboard.daily_trend(obs(s, d), START, END),
-        sql(f"""SELECT {DAY} AS time, {C}, COUNT(*) AS ocorrencias, {avg2(P)} AS precip_media
+        ranged(f"""SELECT {DAY} AS time, {C}, COUNT(*) AS ocorrencias, {avg2(P)} AS precip_media
 FROM obs WHERE {OK} GROUP BY CAST(timestamp_utc AS DATE), {C}"""),
     ),
     "q13_rain_against_humidity": Query(
         lambda s, d: dashboard.rain_against_humidity(obs(s, d), START, END),
-        sql(f"""SELECT {avg(P)} AS x, {avg(H)} AS y, {C}, COUNT(*) AS tamanho_bubble
+        ranged(f"""SELECT {avg(P)} AS x, {avg(H)} AS y, {C}, COUNT(*) AS tamanho_bubble
 FROM obs WHERE {OK} AND {P} IS NOT NULL AND {H} IS NOT NULL GROUP BY CAST(timestamp_utc AS DATE), {C}"""),
     ),
     "q14_class_comparison": Query(
         lambda s, d: dashboard.class_comparison(obs(s, d), START, END),
-        sql(f"""SELECT {C}, {avg2(TEMP)} AS temperatura, {avg2(H)} AS umidade, {avg2(PRESS)} AS pressao,
+        ranged(f"""SELECT {C}, {avg2(TEMP)} AS temperatura, {avg2(H)} AS umidade, {avg2(PRESS)} AS pressao,
   {avg2(WIND)} AS vento, {avg2(RAD)} AS radiacao FROM obs WHERE {OK} GROUP BY {C}"""),
     ),
     "q15_accumulated_rain": Query(
         lambda s, d: dashboard.accumulated_rain(obs(s, d), est(s, d), START, END),
-        sql(f"""SELECT timestamp_utc AS time, e.nome AS estacao,
+        ranged(f"""SELECT timestamp_utc AS time, e.nome AS estacao,
   {dbl(f'SUM({P}) OVER (PARTITION BY e.codigo_wmo ORDER BY timestamp_utc)')} AS precip_acumulada
 FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK}"""),
     ),
     "q16_hour_frequency": Query(
         lambda s, d: dashboard.hour_frequency(obs(s, d), START, END),
-        sql(f"""SELECT CAST(extract('hour' FROM timestamp_utc) AS INTEGER) AS hora, {C}, COUNT(*) AS frequencia,
+        ranged(f"""SELECT CAST(extract('hour' FROM timestamp_utc) AS INTEGER) AS hora, {C}, COUNT(*) AS frequencia,
   {avg2(P)} AS precip_media_hora FROM obs WHERE {OK} GROUP BY extract('hour' FROM timestamp_utc), {C}"""),
     ),
     "q17_daily_extremes": Query(
         lambda s, d: dashboard.daily_extremes(obs(s, d), START, END),
-        sql(f"""SELECT {DAY} AS time, {C}, {dbl(f'MAX({P})')} AS value, {dbl(f'MIN({P})')} AS min_precip,
+        ranged(f"""SELECT {DAY} AS time, {C}, {dbl(f'MAX({P})')} AS value, {dbl(f'MIN({P})')} AS min_precip,
   {avg(P)} AS media_precip FROM obs WHERE {C} <> 'sem_chuva' GROUP BY CAST(timestamp_utc AS DATE), {C}"""),
     ),
     "q18_state_distribution": Query(
         lambda s, d: dashboard.state_distribution(obs(s, d), est(s, d), START, END),
-        sql(f"""SELECT e.uf, {C}, COUNT(*) AS total_registros, {avg2(P)} AS precip_media,
+        ranged(f"""SELECT e.uf, {C}, COUNT(*) AS total_registros, {avg2(P)} AS precip_media,
   COUNT(DISTINCT e.codigo_wmo) AS num_estacoes
 FROM obs o JOIN est e ON o.codigo_wmo = e.codigo_wmo WHERE {OK} GROUP BY e.uf, {C}"""),
     ),
     "q19_wind_against_rain": Query(
         lambda s, d: dashboard.wind_against_rain(obs(s, d), START, END),
-        sql(f"""SELECT {DAY} AS time, {C}, {avg2(WIND)} AS vento_medio, {avg2(P)} AS precip_media,
+        ranged(f"""SELECT {DAY} AS time, {C}, {avg2(WIND)} AS vento_medio, {avg2(P)} AS precip_media,
   {avg2(GUST)} AS vento_rajada_max FROM obs WHERE {C} <> 'sem_chuva' GROUP BY CAST(timestamp_utc AS DATE), {C}"""),
     ),
     "q20_daily_summary": Query(
         lambda s, d: dashboard.daily_summary(obs(s, d), START, END),
-        sql(f"""SELECT {DAY} AS data, COUNT(*) AS total_registros, {each_class(COUNT_CLASS + ' AS {c}', S.CLASSES)},
+        ranged(f"""SELECT {DAY} AS data, COUNT(*) AS total_registros, {each_class(COUNT_CLASS + ' AS {c}', S.CLASSES)},
   {dbl(f'SUM({P})')} AS precip_total_dia, {dbl(f'MAX({P})')} AS precip_max_dia, {avg2(TEMP)} AS temp_media_dia,
   {avg2(H)} AS umidade_media_dia, COUNT(DISTINCT codigo_wmo) AS estacoes_ativas
 FROM obs WHERE {OK} GROUP BY CAST(timestamp_utc AS DATE)"""),

@@ -124,6 +124,62 @@ def test_time_range_reaches_the_partition_column(spark, observations, tmp_path):
     assert sorted(r.data.month for r in df.collect()) == [3, 4]
 
 
+def test_dashboard_range_reads_only_its_months(spark, observations, tmp_path):
+    from pluvio.plans import dashboard
+    from pluvio.sinks import upsert
+
+    rows = [dict(id=m, codigo_wmo="A", data=f"2024-{m:02d}-15", hora_utc="00:00:00", precipitacao_mm=m) for m in range(1, 13)]
+    path = str(tmp_path / "obs")
+    upsert.upsert_observations(spark, path, observations(rows).drop("timestamp_utc", "created_at"), "2024-01-01", ["id"])
+    df = dashboard.daily_summary(upsert.read_observations(spark, path), "2024-03-15 00:00:00", "2024-05-01 00:00:00")
+    got = df.collect()
+    assert sorted(float(r.precip_total_dia) for r in got) == [3.0, 4.0]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(mes_ref" in plan
+    read = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [read.apply(i) for i in range(read.size())]
+    assert sum(x.metrics().apply("numPartitions").value() for x in scans if x.metrics().contains("numPartitions")) <= 3
+
+
+def test_ranks_where_most_values_are_one_and_where_all_differ(spark):
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") * 1000).cast("decimal(18,2)").alias("a"),
+        (F.col("id") * 7919 % 60_000).cast("decimal(18,2)").alias("b"),
+    )
+    want = df.agg(*[F.percentile(c, F.array(*map(F.lit, (0.1, 0.25, 0.5, 0.999)))).alias(c) for c in ("a", "b")]).first()
+    got = {r.variavel: r for r in quantiles.quantiles(df, ["a", "b"], {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p99": 0.999}).collect()}
+    for c in ("a", "b"):
+        assert np.allclose([got[c][n] for n in ("p10", "p25", "p50", "p99")], [float(x) for x in want[c]], rtol=1e-12)
+
+
+def test_floating_point_measures_keep_their_size(spark):
+    df = spark.createDataFrame([(1e9 + i, 1e-12 * (i + 1), float("nan") if i == 2 else i * 1e300) for i in range(3)], "far double, tiny double, odd double")
+    got = {r.variavel: r for r in profile.describe(df, ["far", "tiny", "odd"]).collect()}
+    assert (got["far"].desvio, got["far"].media, got["far"].p50) == (1.0, 1e9 + 1, 1e9 + 1)
+    assert (got["tiny"].p50, got["tiny"].maximo, got["odd"].contagem) == (2e-12, 3e-12, 2)
+    assert abs(got["tiny"].desvio - 1e-12) < 1e-24
+    bins = {(r.variavel, r.faixa): r.contagem for r in profile.histogram(df, ["far", "tiny"], 3).collect()}
+    assert bins == {(m, i): 1 for m in ("far", "tiny") for i in range(3)}
+
+
+def test_profiles_of_nothing(spark):
+    df = spark.createDataFrame([(None,), (None,)], "v decimal(8,2)")
+    row = profile.describe(df, ["v"]).first()
+    assert (row.contagem, row.media, row.desvio, row.p50) == (0, None, None, None)
+    assert profile.histogram(df, ["v"]).count() == 0 and profile.box_plot(df, ["v"]).count() == 0
+    assert profile.describe(df.limit(0), ["v"]).first().contagem == 0
+
+
+def test_no_values_meet_by_measure_alone(spark):
+    df = spark.range(1000).select(F.col("id").cast("decimal(8,2)").alias("v"), (F.col("id") % 7).cast("decimal(8,2)").alias("w"))
+    plan = quantiles.quantiles(df, ["v", "w"], {"p50": 0.5})._jdf.queryExecution().executedPlan().toString()
+    for part in plan.split("Exchange hashpartitioning(")[1:]:
+        keys = part.split(", 8)")[0].split(", 4)")[0]
+        if "valor" not in keys and "_bin" not in keys and "_from" not in keys:
+            # Whatever meets by measure alone has been counted by range before.
+            assert "_bin" in part or "_n" in part or "min(" in part or "max(" in part or "Local" in part
+
+
 def test_filter_lists(spark, observations):
     stations = spark.createDataFrame([("A", "PE", "X"), ("B", "BA", "Y")], "codigo_wmo string, uf string, nome string")
     df = observations([dict(id=1, codigo_wmo="A", intensidade_chuva="leve"), dict(id=2, codigo_wmo="B", intensidade_chuva="forte")])
