@@ -38,13 +38,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pluvio.llm.common import col, free_name, staged, with_values
+from pluvio.llm.common import col, free_name, kept_by, staged, with_values, working
 from pluvio.llm.decontaminate import words
 
 WIDTH, THRESHOLD, TARGET = 5, 0.8, 0.995
@@ -62,10 +61,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 _known: dict[bytes, int] = {}
+kept_by("chosen_path", _known.clear)
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """The text's distinct shingles as sorted 64-bit hashes."""
+    working("chosen_path")
     found = words(text)
     if not found:
         return np.zeros(0, np.uint64)
@@ -178,13 +179,16 @@ def _next_level(large: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _sized(rows: DataFrame) -> DataFrame:
     """The rows whose node holds at least two classes, with the node's members and shingles."""
-    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("weight")).where("members > 1")
+    # Counting the sets keeps the rows' columns the same for both sides, so they are made and dealt once.
+    sizes = rows.groupBy("node").agg(F.count("set").alias("members"), F.sum("n").alias("weight")).where("members > 1")
     return rows.join(sizes, "node")
 
 
 def buckets(classes: DataFrame, threshold: float) -> DataFrame:
     """(bucket, set): the small buckets of all runs, each membership once."""
-    rows = staged(_sized(_paths(classes, runs_needed(threshold))), "paths")
+    # Dealt by node once, for the sizes and for the join; the paths are walked once.
+    paths = _paths(classes, runs_needed(threshold)).repartition("node")
+    rows = staged(_sized(paths), "paths")
     small = (F.col("members") <= LARGE) & (F.col("weight") <= HEAVY)
     leaves, dense, large = [rows.where(small)], [], rows.where(~small)
     for _ in range(DEPTH, DEEPEST):
@@ -219,13 +223,16 @@ def buckets(classes: DataFrame, threshold: float) -> DataFrame:
 def similar(arrays: list[np.ndarray], threshold: float) -> np.ndarray:
     """Which of the sets have at least the threshold's Jaccard similarity."""
     sizes = np.array([len(a) for a in arrays], np.int64)
-    tokens, counts = np.unique(np.concatenate(arrays), return_counts=True)
-    tokens = tokens[counts > 1]
+    _, place, counts = np.unique(np.concatenate(arrays), return_inverse=True, return_counts=True)
+    # Only shingles of two sets or more count; they are numbered in order.
+    common = counts > 1
+    number, n = np.cumsum(common) - 1, int(common.sum())
     inter = np.zeros((len(arrays), len(arrays)), np.float32)
-    places = [np.searchsorted(tokens, a[np.isin(a, tokens, assume_unique=True)]) for a in arrays] if len(tokens) else []
+    ends = np.cumsum(sizes)
+    places = [number[p[common[p]]] for p in np.split(place, ends[:-1])] if n else []
     step = max(1, (8 << 20) // len(arrays))
-    for start in range(0, len(tokens), step):
-        part = np.zeros((len(arrays), min(step, len(tokens) - start)), np.float32)
+    for start in range(0, n, step):
+        part = np.zeros((len(arrays), min(step, n - start)), np.float32)
         for i, place in enumerate(places):
             a, b = np.searchsorted(place, [start, start + step])
             part[i, place[a:b] - start] = 1
@@ -234,37 +241,70 @@ def similar(arrays: list[np.ndarray], threshold: float) -> np.ndarray:
     return (inter.astype(np.float64) / union >= threshold - 1e-12) & ~np.eye(len(arrays), dtype=bool)
 
 
-def _brute(threshold: float):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("set").reset_index(drop=True)
-        if len(group) < 2:
-            return pd.DataFrame({"set": [], "links": [], "root": []}).astype("int64")
-        near = similar([np.frombuffer(s, np.uint64) for s in group["shingles"]], threshold)
-        here, sets = int(group["bucket"].iloc[0]), group["set"].to_numpy(np.int64)
-        # Pairs that also meet in a bucket with a lower id count there.
-        lower = [np.array([b for b in found if b < here], np.int64) for found in group["buckets"]]
-        seen = np.unique(np.concatenate(lower))
-        earlier = np.zeros(near.shape, np.float32)
-        for start in range(0, len(seen), 8192):
-            part = np.zeros((len(group), min(8192, len(seen) - start)), np.float32)
-            for i, found in enumerate(lower):
-                place = np.searchsorted(seen, found) - start
-                part[i, place[(place >= 0) & (place < part.shape[1])]] = 1
-            earlier += part @ part.T
-        links = ((near & (earlier == 0)) * group["copies"].to_numpy(np.int64)[None, :]).sum(1)
-        root = np.full(len(group), -1)
-        for i in range(len(group)):
-            if root[i] < 0:
-                front = np.array([i])
-                root[i] = i
-                while len(front):
-                    reach = near[front].any(0) & (root < 0)
-                    root[reach] = i
-                    front = np.flatnonzero(reach)
-        made = pd.DataFrame({"set": sets, "links": links, "root": sets[root]})
-        return made[(made["links"] > 0) | (made["set"] != made["root"])]
-
-    return run
+def _compared(bucket: int, parts: list[pa.RecordBatch], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Set, links and root of the classes of one bucket that are linked in it."""
+    sets, first = np.unique(np.concatenate([p.column("set").to_numpy() for p in parts]), return_index=True)
+    if len(sets) < 2:
+        return None
+    shingles = [v for p in parts for v in p.column("shingles").to_pylist()]
+    near = similar([np.frombuffer(shingles[i], np.uint64) for i in first], threshold)
+    if not near.any():
+        return None
+    copies = np.concatenate([p.column("copies").to_numpy() for p in parts])[first]
+    # Pairs that also meet in a bucket with a lower id count there.
+    met = [v for p in parts for v in p.column("buckets").to_pylist()]
+    lower = [np.array([b for b in met[i] if b < bucket], np.int64) for i in first]
+    seen = np.unique(np.concatenate(lower))
+    earlier = np.zeros(near.shape, np.float32)
+    for start in range(0, len(seen), 8192):
+        part = np.zeros((len(sets), min(8192, len(seen) - start)), np.float32)
+        for i, found in enumerate(lower):
+            place = np.searchsorted(seen, found) - start
+            part[i, place[(place >= 0) & (place < part.shape[1])]] = 1
+        earlier += part @ part.T
+    links = ((near & (earlier == 0)) * copies[None, :]).sum(1)
+    root = np.full(len(sets), -1)
+    for i in range(len(sets)):
+        if root[i] < 0:
+            front = np.array([i])
+            root[i] = i
+            while len(front):
+                reach = near[front].any(0) & (root < 0)
+                root[reach] = i
+                front = np.flatnonzero(reach)
+    kept = (links > 0) | (root != np.arange(len(sets)))
+    return sets[kept], links[kept], sets[root][kept]
+
+
+def _brute(whole: DataFrame, threshold: float) -> DataFrame:
+    """(set, links, root) of every bucket; rows of a bucket follow one another, most buckets are tiny."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, bucket, made = [], None, []
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*made)], ["set", "links", "root"])
+
+        for batch in batches:
+            ids = batch.column("bucket").to_numpy()
+            edges = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)]
+            for a, b in zip(edges, edges[1:]):
+                if held and ids[a] != bucket:
+                    made.append(_compared(bucket, held, threshold))
+                    held = []
+                bucket = int(ids[a])
+                held.append(batch.slice(a, b - a))
+            made = [m for m in made if m is not None]
+            if made:
+                yield rows()
+                made = []
+        if held:
+            made = [m for m in [_compared(bucket, held, threshold)] if m is not None]
+            if made:
+                yield rows()
+
+    dealt = whole.select("bucket", "set", "copies", "buckets", "shingles").repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "set bigint, links bigint, root bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -312,7 +352,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     kind = pa.struct([("set", pa.int64()), ("shingles", pa.binary())])
     shingled = with_values(texts, "text", "again", "struct<set:bigint, shingles:binary>", kind, again, rows=64)
     whole = shingled.where(F.col("again.set") == F.col("set")).select("set", "copies", "buckets", F.col("again.shingles").alias("shingles"), F.explode("buckets").alias("bucket"))
-    stars = staged(whole.groupBy("bucket").applyInPandas(_brute(threshold), "set bigint, links bigint, root bigint"), "stars")
+    stars = staged(_brute(whole, threshold), "stars")
     links = stars.groupBy("set").agg(F.sum("links").alias("links"))
     parts = components(stars.where("set != root"))
     named = sizes.join(links, "set", "left").join(parts, "set", "left").withColumn("root", F.coalesce("root", "set"))

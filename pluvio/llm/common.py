@@ -14,6 +14,30 @@ from pluvio.session import fresh_path
 ROWS = 256
 
 
+#: What operators keep in a worker between tasks, to save time only: who, and how it is let go.
+_kept: dict[str, Callable[[], object]] = {}
+_working: str | None = None
+
+
+def kept_by(operator: str, drop: Callable[[], object]) -> None:
+    """Registers what an operator keeps in a worker; ``drop`` lets it go."""
+    _kept[operator] = drop
+
+
+def working(operator: str) -> None:
+    """Called by tasks: whatever other operators keep in this worker is let go.
+
+    Workers are used again by the stages of a pipeline; without this each would
+    carry the memory of all stages before.
+    """
+    global _working
+    if operator != _working:
+        for name, drop in _kept.items():
+            if name != operator:
+                drop()
+        _working = operator
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
