@@ -1,35 +1 @@
 """Column functions: pure expressions, no data access."""
-
-from pluvio.functions.numeric import (
-    half_up_ratio,
-    mean,
-    or_zero,
-    percent,
-    rounded_mean,
-)
-from pluvio.functions.rainfall import fill_class, rainfall_class, severity
-from pluvio.functions.timeparts import (
-    calendar_parts,
-    epoch_ms,
-    from_epoch_ms,
-    month_start,
-    utc_timestamp,
-    weekday,
-)
-
-__all__ = [
-    "calendar_parts",
-    "epoch_ms",
-    "fill_class",
-    "from_epoch_ms",
-    "half_up_ratio",
-    "mean",
-    "month_start",
-    "or_zero",
-    "percent",
-    "rainfall_class",
-    "rounded_mean",
-    "severity",
-    "utc_timestamp",
-    "weekday",
-]

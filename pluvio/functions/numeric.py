@@ -50,7 +50,7 @@ def mean(value: Column | str, scale: int = 2, digits: int | None = None) -> Colu
     return F.try_divide(total(value, scale, digits).cast("double"), F.count(value))
 
 
-def rounded_mean(value: str) -> Column:
+def rounded_mean(value: Column | str) -> Column:
     """Aggregate: the mean of a two-decimal column, rounded to two decimals."""
     hundredths = (total(value) * 100).cast("bigint")
     return half_up_ratio(hundredths, F.count(value))

@@ -61,7 +61,8 @@ def newest_per_group(
 
     Counts per bucket tell which buckets the limit reaches; all rows of older
     buckets are dropped before anything is sorted. The rows that remain are
-    ranked within their bucket, behind the count of the newer buckets.
+    ranked within their bucket, behind the count of the newer buckets. However often
+    a bucket's rows were delivered, no task sends on more than ``limit`` of them.
     """
     groups = list(groups)
     rows = df.withColumn("_bucket", bucket)
@@ -74,10 +75,10 @@ def newest_per_group(
         .drop("_rows")
     )
     within = Window.partitionBy(*groups, "_bucket").orderBy(F.desc(order), *tie_break)
-    place = F.col("_newer") + F.row_number().over(within)
     return (
         rows.join(reach, [*groups, "_bucket"])
-        .withColumn("_place", place)
+        .withColumn("_place", F.row_number().over(within))
         .where(F.col("_place") <= limit)
+        .where(F.col("_newer") + F.col("_place") <= limit)
         .drop("_bucket", "_newer", "_place")
     )

@@ -54,7 +54,8 @@ def _passes(kind: T.DataType) -> int:
 
 
 def _long(df: DataFrame, measures: Sequence[str], *others: str) -> DataFrame:
-    rows = [F.struct(F.lit(m).alias("variavel"), F.col(m).alias("valor")) for m in measures]
+    """A row per value; ``_m`` is the place of its measure, which joins faster than its name."""
+    rows = [F.struct(F.lit(i).alias("_m"), F.col(m).alias("valor")) for i, m in enumerate(measures)]
     return df.select(*others, F.inline(F.array(*rows))).where(F.col("valor").isNotNull())
 
 
@@ -65,12 +66,12 @@ def spans(values: DataFrame, measures: Sequence[str], groups: Sequence[str] = ()
     subtracting large squares.
     """
     cells = []
-    for m in measures:
+    for i, m in enumerate(measures):
         kind = values.schema[m].dataType
         whole = total(m, kind.scale, kind.precision) if isinstance(kind, T.DecimalType) else F.sum(m)
         cells.append(
             F.struct(
-                F.lit(m).alias("variavel"), F.count(m).alias("_total"), F.count_if(F.col(m).isNull()).alias("_gaps"),
+                F.lit(m).alias("variavel"), F.lit(i).alias("_m"), F.count(m).alias("_total"), F.count_if(F.col(m).isNull()).alias("_gaps"),
                 whole.alias("_sum"), F.stddev_samp(F.col(m).cast("double")).alias("_deviation"), F.min(m).alias("_low"), F.max(m).alias("_high"),
             )
         )
@@ -78,14 +79,20 @@ def spans(values: DataFrame, measures: Sequence[str], groups: Sequence[str] = ()
 
 
 def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], inside: Column | None = None) -> DataFrame:
-    """An inner join in which NULL keys are equal too."""
+    """An inner join in which NULL groups are equal too."""
     named = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    same = F.lit(True) if inside is None else inside
-    for k in keys:
-        same = F.col(k).eqNullSafe(F.col(f"_r_{k}")) & same
+    same = _same(keys) if inside is None else _same(keys) & inside
     return left.join(named, same).drop(*[f"_r_{k}" for k in keys])
 
 
+def _same(keys: Sequence[str]) -> Column:
+    same = F.col("_m") == F.col("_r__m")
+    for k in keys:
+        if k != "_m":
+            same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return same
+
+
 def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
     """The equal range of ``low`` to ``high`` that holds a value; never falls as the value grows."""
     low, value = low.cast("double"), value.cast("double")
@@ -96,11 +103,11 @@ def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 
 def select_ranks(values: DataFrame, measures: Sequence[str], ranks: dict[str, Column], span: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
-    """Per group and measure of ``span`` with values: the value at every named zero-based rank.
+    """Per group and measure (``_m``) of ``span`` with values: the value at every named zero-based rank.
 
     ``values`` comes from ``typed``; the ranks are columns over ``span``.
     """
-    keys = [*groups, "variavel"]
+    keys = [*groups, "_m"]
     rows = _long(values, measures, *groups)
     names = list(ranks)
     ranges = span.where(F.col("_total") > 0).select(*keys, "_low", "_high", *[r.cast("bigint").alias(n) for n, r in ranks.items()])
@@ -129,7 +136,7 @@ def select_ranks(values: DataFrame, measures: Sequence[str], ranks: dict[str, Co
 
 def with_quantiles(values: DataFrame, measures: Sequence[str], probabilities: dict[str, float], span: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     """The rows of ``span`` and linearly interpolated quantiles as doubles, NULL where a measure has no value."""
-    keys = [*groups, "variavel"]
+    keys = [*groups, "_m"]
     kind = span.schema["_low"].dataType
     unit = F.lit(10**kind.scale if isinstance(kind, T.DecimalType) else 1)
     position = {name: F.lit(p) * (F.col("_total") - 1) for name, p in probabilities.items()}
@@ -137,13 +144,10 @@ def with_quantiles(values: DataFrame, measures: Sequence[str], probabilities: di
     found = select_ranks(values, measures, ranks, span, groups)
     steps = {n: (F.col(n) * unit).cast("double") for n in ranks}
     named = found.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[v.alias(n) for n, v in steps.items()])
-    same = F.lit(True)
-    for k in keys:
-        same = F.col(k).eqNullSafe(F.col(f"_r_{k}")) & same
     results = {
         name: (F.col(f"_f_{name}") + (F.col(f"_c_{name}") - F.col(f"_f_{name}")) * (at - F.floor(at))) / unit for name, at in position.items()
     }
-    return span.join(named, same, "left").withColumns(results).drop(*ranks, *[f"_r_{k}" for k in keys])
+    return span.join(named, _same(keys), "left").withColumns(results).drop(*ranks, *[f"_r_{k}" for k in keys])
 
 
 def quantiles(

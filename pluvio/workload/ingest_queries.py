@@ -148,7 +148,7 @@ def _streamed(spark: SparkSession, folder: str, listed: DataFrame | None = None)
         devices(spark, folder) if listed is None else listed,
         checkpoint=fresh_path(spark, "checkpoint"),
         now=lambda: NOW,
-        files_per_batch=5,
+        files_per_batch=8,
         **tables,
     )
     query.awaitTermination()

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pluvio.functions import fill_class, half_up_ratio, rainfall_class, rounded_mean, severity, weekday
+from pluvio.functions.numeric import half_up_ratio, rounded_mean
+from pluvio.functions.rainfall import fill_class, rainfall_class, severity
+from pluvio.functions.timeparts import weekday
 from pluvio.functions.timeparts import epoch_ms, from_epoch_ms
 
 GOLDEN = [

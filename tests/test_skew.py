@@ -81,6 +81,13 @@ def test_copies_of_one_key(spark, tmp_path):
     assert float(table.where("codigo_wmo = 'hot'").first().precipitacao_mm) == 29_997 % 100
 
 
+def test_repeated_deliveries_are_cut_before_the_shuffle(spark):
+    rows = spark.range(20_000).selectExpr("concat('d', id % 2) device_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id % 3 as int)) t", "id")
+    found = buckets.newest_per_group(rows, ["device_id"], "t", 5, F.to_date("t"), ["id"])
+    assert found._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 1
+    assert sorted(r.id for r in found.where("device_id = 'd0'").collect()) == [2, 8, 14, 20, 26]
+
+
 def test_distinct_counts_are_combined_first(spark):
     _, text = shuffles(views.monthly_by_class(obs(spark, "/root/testdata/sf0.001", "orders")))
     assert text.count("partial_") >= 2 and "Expand" not in text
