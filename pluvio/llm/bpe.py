@@ -33,14 +33,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import col, with_values
+from pluvio.llm.common import col, kept_by, with_values, working
 
 LOOK_AHEAD = 2
 LEAF_CHARS = 8192
 LEAF_BYTES = 16
 LEAF_IDS = 4096
 #: Pieces a worker remembers before it starts afresh.
-CACHE = 1_000_000
+CACHE = 400_000
 
 
 def load_ranks(path: str) -> bytes:
@@ -174,12 +174,16 @@ def _codec(ranks: bytes, pattern: str) -> Codec:
     return Codec(ranks, pattern)
 
 
+kept_by("bpe", _codec.cache_clear)
+
+
 def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: its id, the columns to keep, ``ids`` (packed little-endian, four bytes each) and ``n_tokens``."""
     rows = docs.select(col(id_col), *[col(c) for c in keep], col(text_col).cast("string").alias("text_"))
     shipped = docs.sparkSession.sparkContext.broadcast(ranks)  # under a megabyte, fixed by the vocabulary
 
     def run(texts: list) -> list[bytes]:
+        working("bpe")
         codec = _codec(shipped.value, pattern)
         return [codec.encode(text) for text in texts]
 
@@ -192,6 +196,7 @@ def decode(coded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     shipped = coded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(found: list) -> list[bytes]:
+        working("bpe")
         codec = _codec(shipped.value, pattern)
         return [codec.decode(ids) for ids in found]
 

@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pluvio.llm.common import by_slices, col, free_name, staged, with_values
+from pluvio.llm.common import by_slices, col, free_name, kept_by, staged, with_values, working
 
 ORDER, BITS = 4, 6
 SYMBOLS = 1 << BITS
@@ -215,6 +215,7 @@ def dense(tables: dict[str, np.ndarray]) -> np.ndarray:
 
 #: The worker's dense table and the model it was made from.
 _DENSE: dict = {}
+kept_by("quality", _DENSE.clear)
 
 
 def shares(texts: DataFrame) -> dict[str, np.ndarray]:
@@ -238,6 +239,7 @@ def shares(texts: DataFrame) -> dict[str, np.ndarray]:
 
 def base(texts: list[str | None], tables: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """In parts of ``UNIT``: every character's log probability by symbols, and where each text's begin."""
+    working("quality")
     if _DENSE.get("for") is not tables:
         share = np.zeros(0x110000, np.int32)
         share[tables["point"]] = np.rint(tables["share"] * UNIT)
