@@ -7,7 +7,7 @@ window only, inside a sentence (``INSIDE``). The least total of padding and
 penalties up to a cut is found from the cuts at most one window before it: padding
 to a full window is ``LENGTH - (p - q)``, so the best earlier cut is the head of a
 monotone queue over cost plus position; windows that are full or a power of two
-long, which are not padded, are tried beside it. All but the last windows of a
+long, down to a sixteenth, are not padded and are tried beside it. All but the last windows of a
 chunk are final; the rest goes on with the next documents. At the end of a
 stream what is left is cut into powers of two, so nothing is padded there either.
 
@@ -25,6 +25,7 @@ gives no rows. Other columns, clashing ones too, are not looked at unless named
 from __future__ import annotations
 
 import base64
+from array import array
 from collections import deque
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -45,6 +46,8 @@ LENGTH, SENTENCE, INSIDE = 1024, 1, 6
 SEQUENCE = 12
 #: Tokens that are packed together, and those at the end of a chunk that stay open.
 CHUNK, OPEN = 2**17, 2**13
+#: Tokens in which one sentence end at most is a place to cut.
+GRAIN = 16
 #: Characters of a text that are encoded at once.
 PIECE = 2**19
 END = 0
@@ -79,16 +82,23 @@ class Codec:
             cut = WORDS.search(text, start + PIECE)
             if cut is None:
                 break
-            found += self.encoding.encode(text[start : cut.start()], allowed_special=self.special, disallowed_special=())
+            found += self._encoded(text[start : cut.start()])
             start = cut.start()
-        found += self.encoding.encode(text[start:], allowed_special=self.special, disallowed_special=())
+        found += self._encoded(text[start:])
         found.append(END)
-        return np.array(found, np.uint32)
+        return np.frombuffer(array("I", found), np.uint32)
+
+    def _encoded(self, text: str) -> list[int]:
+        if any(word in text for word in self.special):
+            return self.encoding.encode(text, allowed_special=self.special, disallowed_special=())
+        return self.encoding.encode_ordinary(text)
 
     def sentences(self, ids: np.ndarray) -> np.ndarray:
-        """Positions behind a sentence, the end of the document left out."""
+        """Positions behind a sentence, the end of the document left out; the first in every ``GRAIN`` tokens."""
         here, behind = ids[:-2], ids[1:-1]
-        return 1 + np.flatnonzero((self.ends[here] & self.opens[behind]) | self.breaks[here])
+        found = 1 + np.flatnonzero((self.ends[here] & self.opens[behind]) | self.breaks[here])
+        stretch = found // GRAIN
+        return np.append(found[:1], found[1:][stretch[1:] != stretch[:-1]])
 
 
 def padding(length: int, full: int = LENGTH) -> int:
@@ -103,37 +113,44 @@ def cuts(places: Sequence[int], penalties: Sequence[int], full: int = LENGTH) ->
     """
     end = places[-1]
     cost, before = {0: 0}, {}
-    queue: deque[tuple[int, int]] = deque([(0, 0)])  # cost + place and place, both ascending
-    pending = deque([full])  # ends of full windows that start at a candidate
-    steps = [1 << k for k in range(full.bit_length()) if 1 << k <= full]
+    values, starts, head = [0], [0], 0  # the queue from ``head`` on: cost + place and place, both ascending
+    pending, due = [full], 0  # ends of full windows that start at a candidate, from ``due`` on
+    steps = [1 << k for k in range(full.bit_length()) if full >> 4 <= 1 << k <= full]
     get = cost.get
     for place, penalty in zip(places, penalties, strict=True):
-        while pending and pending[0] < place:
+        while due < len(pending) and pending[due] < place:
             # A cut inside a sentence, only at the end of a full window. Its own full
             # window may end inside a sentence again only if no candidate is in reach.
-            inner = pending.popleft()
+            inner = pending[due]
+            due += 1
             if inner in cost:
                 continue
             value = cost[inner - full] + INSIDE + SEQUENCE
             cost[inner], before[inner] = value, inner - full
-            while queue and queue[-1][0] >= value + inner:
-                queue.pop()
-            queue.append((value + inner, inner))
+            value += inner
+            while len(values) > head and values[-1] >= value:
+                del values[-1], starts[-1]
+            values.append(value)
+            starts.append(inner)
             if place > inner + full:
                 pending.append(inner + full)
-        while queue and queue[0][1] < place - full:
-            queue.popleft()
-        at = queue[0][1]
-        best = cost[at] + padding(place - at, full)
+        first = place - full
+        while starts[head] < first:
+            head += 1
+        at = starts[head]
+        length = place - at
+        best = cost[at] + (full - length if length & (length - 1) else 0)
         for step in steps:
             value = get(place - step)
             if value is not None and value <= best:
                 best, at = value, place - step
         best += penalty + SEQUENCE
         cost[place], before[place] = best, at
-        while queue and queue[-1][0] >= best + place:
-            queue.pop()
-        queue.append((best + place, place))
+        value = best + place
+        while len(values) > head and values[-1] >= value:
+            del values[-1], starts[-1]
+        values.append(value)
+        starts.append(place)
         pending.append(place + full)
     found = [end]
     while found[-1]:
