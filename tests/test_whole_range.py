@@ -13,6 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 TIMES = {"events": ("ts", "event_id"), "orders": ("o_orderdate", "o_orderkey")}
 WHOLE = [
     "prj10_filter_lists",
+    "q01_class_distribution",
 ]
 
 
