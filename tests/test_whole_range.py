@@ -14,6 +14,7 @@ TIMES = {"events": ("ts", "event_id"), "orders": ("o_orderdate", "o_orderkey")}
 WHOLE = [
     "prj10_filter_lists",
     "q01_class_distribution",
+    "q02_rain_points",
 ]
 
 
