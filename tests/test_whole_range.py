@@ -15,6 +15,7 @@ WHOLE = [
     "prj10_filter_lists",
     "q01_class_distribution",
     "q02_rain_points",
+    "q03a_class_by_station_code",
 ]
 
 
