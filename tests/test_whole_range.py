@@ -16,6 +16,7 @@ WHOLE = [
     "q01_class_distribution",
     "q02_rain_points",
     "q03a_class_by_station_code",
+    "q03b_class_by_short_name",
 ]
 
 
