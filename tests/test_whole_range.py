@@ -18,6 +18,7 @@ WHOLE = [
     "q03a_class_by_station_code",
     "q03b_class_by_short_name",
     "q03c_class_by_busiest_station",
+    "q04_station_heat_map",
 ]
 
 
