@@ -19,6 +19,7 @@ WHOLE = [
     "q03b_class_by_short_name",
     "q03c_class_by_busiest_station",
     "q04_station_heat_map",
+    "q05_daily_mean",
 ]
 
 
