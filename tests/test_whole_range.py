@@ -20,6 +20,7 @@ WHOLE = [
     "q03c_class_by_busiest_station",
     "q04_station_heat_map",
     "q05_daily_mean",
+    "q06_daily_counts",
 ]
 
 
