@@ -22,6 +22,7 @@ WHOLE = [
     "q05_daily_mean",
     "q06_daily_counts",
     "q07_top_heavy_rain",
+    "q08_weather_by_time",
 ]
 
 
