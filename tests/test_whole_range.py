@@ -23,6 +23,7 @@ WHOLE = [
     "q06_daily_counts",
     "q07_top_heavy_rain",
     "q08_weather_by_time",
+    "q09_class_pie",
 ]
 
 
