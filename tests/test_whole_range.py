@@ -25,6 +25,7 @@ WHOLE = [
     "q08_weather_by_time",
     "q09_class_pie",
     "q10_station_table",
+    "q11_monthly_total",
 ]
 
 
