@@ -26,6 +26,7 @@ WHOLE = [
     "q09_class_pie",
     "q10_station_table",
     "q11_monthly_total",
+    "q12_daily_trend",
 ]
 
 
