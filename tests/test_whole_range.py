@@ -27,6 +27,7 @@ WHOLE = [
     "q10_station_table",
     "q11_monthly_total",
     "q12_daily_trend",
+    "q13_rain_against_humidity",
 ]
 
 
