@@ -28,6 +28,7 @@ WHOLE = [
     "q11_monthly_total",
     "q12_daily_trend",
     "q13_rain_against_humidity",
+    "q14_class_comparison",
 ]
 
 
