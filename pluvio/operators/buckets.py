@@ -29,21 +29,23 @@ def running_total(
     and repeated rows never gather. The default bucket is the calendar day: what
     is ordered in one task is the distinct times of a group's day, and a group
     has one total per day. The sums join the rows by group and time. NULL values
-    add nothing, and a group's sum is NULL until its first value.
+    add nothing, and a group's sum is NULL until its first value. Rows without a
+    time come last, and rows without a group are a group.
     """
     kind = df.schema[value].dataType
     wide = F.col(value).cast(T.DecimalType(28, kind.scale)) if isinstance(kind, T.DecimalType) else F.col(value)
     day = F.to_date(order) if bucket is None else bucket
     times = df.groupBy(group, order).agg(F.sum(wide).alias("_sum")).withColumn("_bucket", day)
-    earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(group).orderBy(F.asc_nulls_last("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         times.groupBy(group, "_bucket")
         .agg(F.sum("_sum").alias("_bucket_sum"))
-        .select(group, "_bucket", F.sum("_bucket_sum").over(earlier).alias("_before"))
+        .select(F.col(group).alias("_of"), F.col("_bucket").alias("_in"), F.sum("_bucket_sum").over(earlier).alias("_before"))
     )
-    within = F.sum("_sum").over(Window.partitionBy(group, "_bucket").orderBy(order))
+    within = F.sum("_sum").over(Window.partitionBy(group, "_bucket").orderBy(F.asc_nulls_last(order)))
     total = F.coalesce(F.col("_before") + F.col("_within"), F.col("_within"), F.col("_before"))
-    sums = times.withColumn("_within", within).join(offsets, [group, "_bucket"])
+    there = F.col(group).eqNullSafe(F.col("_of")) & F.col("_bucket").eqNullSafe(F.col("_in"))
+    sums = times.withColumn("_within", within).join(offsets, there)
     sums = sums.select(F.col(group).alias("_group"), F.col(order).alias("_order"), total.alias(output))
     same = F.col(group).eqNullSafe(F.col("_group")) & F.col(order).eqNullSafe(F.col("_order"))
     return df.join(sums, same).drop("_group", "_order")
