@@ -30,6 +30,7 @@ WHOLE = [
     "q13_rain_against_humidity",
     "q14_class_comparison",
     "q15_accumulated_rain",
+    "q16_hour_frequency",
 ]
 
 
