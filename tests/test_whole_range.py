@@ -31,6 +31,7 @@ WHOLE = [
     "q14_class_comparison",
     "q15_accumulated_rain",
     "q16_hour_frequency",
+    "q17_daily_extremes",
 ]
 
 
