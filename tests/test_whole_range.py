@@ -32,6 +32,7 @@ WHOLE = [
     "q15_accumulated_rain",
     "q16_hour_frequency",
     "q17_daily_extremes",
+    "q18_state_distribution",
 ]
 
 
