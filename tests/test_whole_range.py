@@ -33,6 +33,7 @@ WHOLE = [
     "q16_hour_frequency",
     "q17_daily_extremes",
     "q18_state_distribution",
+    "q19_wind_against_rain",
 ]
 
 
