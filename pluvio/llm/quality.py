@@ -47,7 +47,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -62,8 +62,10 @@ ENOUGH = 200
 #: Orders over exact characters, above the symbols'.
 EXACT = (5, 6)
 LONGEST = EXACT[-1]
-#: So many entries at most (16 MB) are sent to every task; a split of the work, not of the model.
-HOT = 1_000_000
+#: Bits of a character beside another in one number.
+WIDTH = 21
+#: So many entries at most (24 MB) are sent to every task; a split of the work, not of the model.
+HOT = 2_000_000
 #: Model entries are whole multiples of one part in so many.
 UNIT = 1_000_000
 #: So many trusted ids at most (some 16 MB) are sent to every task; more are joined by shuffling.
@@ -155,8 +157,12 @@ def counts(texts: DataFrame) -> DataFrame:
 def _discounts(table: DataFrame) -> list[float]:
     """D1, D2 and D3+ from the counts of counts."""
     row = table.agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in range(1, 5)]).first()
-    n = [0, *[row[f"n{i}"] for i in range(1, 5)]]
-    if not all(n[1:]):
+    return _from_counts([row[f"n{i}"] for i in range(1, 5)])
+
+
+def _from_counts(of: list[int]) -> list[float]:
+    n = [0, *of]
+    if not all(of):
         return [0.5, 1.0, 1.5]
     y = n[1] / (n[1] + 2 * n[2])
     return [min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i - 0.05 if i > 1 else 0.95) for i in (1, 2, 3)]
@@ -203,14 +209,16 @@ def model(texts: DataFrame) -> dict[str, np.ndarray] | None:
 
 def dense(tables: dict[str, np.ndarray]) -> np.ndarray:
     """The log probability of every possible 4-gram, seen or backed off."""
-    p = np.full(1, 1.0 / SYMBOLS, np.float32)
+    p = np.full(SYMBOLS, 1.0 / SYMBOLS, np.float32)
     for order in range(1, ORDER + 1):
         weight = np.ones(1 << BITS * (order - 1), np.float32)
         weight[tables[f"context{order}.key"]] = tables[f"context{order}.value"]
-        shorter = np.tile(p, SYMBOLS) if order > 1 else np.full(SYMBOLS, p[0])
-        p = np.repeat(weight, SYMBOLS) * shorter
+        if order > 1:  # first symbol and middle of the context, middle and symbol of the shorter one
+            p = (weight.reshape(SYMBOLS, -1, 1) * p.reshape(1, -1, SYMBOLS)).reshape(-1)
+        else:
+            p = weight[0] * p
         p[tables[f"seen{order}.key"]] = tables[f"seen{order}.value"]
-    return np.log(p)
+    return np.log(p, out=p)
 
 
 #: The worker's dense table and the model it was made from.
@@ -237,20 +245,31 @@ def shares(texts: DataFrame) -> dict[str, np.ndarray]:
     return {"point": point, "share": np.log(n / total[symbol])}
 
 
-def base(texts: list[str | None], tables: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """In parts of ``UNIT``: every character's log probability by symbols, and where each text's begin."""
+def _by_symbols(gram: np.ndarray, points: np.ndarray, tables: dict[str, np.ndarray]) -> np.ndarray:
+    """In parts of ``UNIT``: the log probability of characters that end the 4-grams."""
     working("quality")
     if _DENSE.get("for") is not tables:
+        _DENSE.clear()
         share = np.zeros(0x110000, np.int32)
         share[tables["point"]] = np.rint(tables["share"] * UNIT)
-        _DENSE.update({"for": tables, "log": np.rint(dense(tables).astype(np.float64) * UNIT).astype(np.int32), "share": share})
+        log = dense(tables)
+        whole = log.view(np.int32)  # a worker has one table of this size at a time, so parts take their place in it
+        for start in range(0, len(log), SYMBOLS**3):
+            some = slice(start, start + SYMBOLS**3)
+            whole[some] = np.rint(log[some].astype(np.float64) * UNIT)
+        _DENSE.update({"for": tables, "log": whole, "share": share})
+    return _DENSE["log"][gram].astype(np.int64) + _DENSE["share"][points]
+
+
+def base(texts: list[str | None], tables: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """In parts of ``UNIT``: every character's log probability by symbols, and where each text's begin."""
     gram, ends = grams(texts)
     points = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    return _DENSE["log"][gram].astype(np.int64) + _DENSE["share"][points], ends
+    return _by_symbols(gram, points, tables), ends
 
 
-def exact_grams(texts: list[str | None]) -> dict[str, np.ndarray]:
-    """Numbers of the n-gram that ends with each character (``g5``, ...) and of its context (``c5``, ...)."""
+def _windows(texts: list[str | None]) -> list[np.ndarray]:
+    """The ``LONGEST`` characters that end with each character, the first of all first; one more than the code point, 0 before the text."""
     pad = LONGEST - 1
     padded = ("\0" * pad).join(["", *[t or "" for t in texts]])
     points = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
@@ -260,53 +279,176 @@ def exact_grams(texts: list[str | None]) -> dict[str, np.ndarray]:
     for k in range(pad):
         points[starts - 1 - k], inside[starts - 1 - k] = 0, False
     inside = np.flatnonzero(inside)
+    return [points[inside - k] for k in range(pad, -1, -1)]
+
+
+def _numbers(window: list[np.ndarray]) -> dict[str, np.ndarray]:
+    """Numbers of the n-grams that end the windows (``g5``, ...) and of their contexts (``c5``, ...)."""
     made: dict[str, np.ndarray] = {}
     for order in EXACT:
-        x = np.full(len(inside), order << 40, np.uint64)  # far from any code point
-        for k in range(order - 1, -1, -1):
-            if not k:
+        x = np.full(len(window[0]), order << 40, np.uint64)  # far from any code point
+        for k in range(LONGEST - order, LONGEST):
+            if k == LONGEST - 1:
                 made[f"c{order}"] = x.view(np.int64)
-            x = (x ^ points[inside - k]) * np.uint64(0x9E3779B97F4A7C15)
+            x = (x ^ window[k]) * np.uint64(0x9E3779B97F4A7C15)
             x ^= x >> np.uint64(29)
         made[f"g{order}"] = x.view(np.int64)
     return made
 
 
-_NUMBERS = [f"{kind}{order}" for order in EXACT for kind in "gc"]
+def exact_grams(texts: list[str | None]) -> dict[str, np.ndarray]:
+    """Numbers of the n-gram that ends with each character (``g5``, ...) and of its context (``c5``, ...)."""
+    return _numbers(_windows(texts))
+
+
+def _pair(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return ((high << np.uint64(WIDTH)) | low).view(np.int64)
 
 
-def exact_counts(texts: DataFrame, tables: dict[str, np.ndarray]) -> DataFrame:
-    """Numbers of all n-grams of ``LONGEST`` characters, of their shorter ones and of the contexts, ``n``, and what the symbols say."""
-    shipped = texts.sparkSession.sparkContext.broadcast(tables)
-    columns = [*_NUMBERS, "n", "base"]
+def _unpair(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return both.view(np.uint64) >> np.uint64(WIDTH), both.view(np.uint64) & np.uint64((1 << WIDTH) - 1)
+
+
+def exact_counts(texts: DataFrame) -> DataFrame:
+    """A row per four characters in the middle of n-grams: these (``a``, ``b``), all pairs of ``ends`` around them, and their counts.
+
+    An n-gram travels as its six characters. All that the orders 5 and 6 count
+    has the middle in common: the context of the longer is a first character and
+    the middle, the shorter n-gram the middle and a last one, its context the
+    middle. So this is the only time that n-grams meet.
+    """
+    columns = ["a", "b", "ends", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working("quality counts")  # lets a former model go, which counting does not need
         parts, held = [], 0
 
-        def merged(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
-            every = {c: np.concatenate([p[c] for p in parts]) for c in columns}
-            _, place, back = np.unique(every[f"g{LONGEST}"], return_index=True, return_inverse=True)
-            return {c: every[c][place] for c in columns} | {"n": np.bincount(back, every["n"]).astype(np.int64)}
+        def merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+            number, *others, n = (np.concatenate(x) for x in zip(*parts))
+            number, place, back = np.unique(number, return_index=True, return_inverse=True)
+            return [number, *[x[place] for x in others], np.bincount(back, n).astype(np.int64)]
+
+        def made() -> pa.RecordBatch:
+            _, *found = parts[0]
+            order = np.lexsort(found[2::-1])
+            return pa.RecordBatch.from_arrays([pa.array(x[order], pa.int64()) for x in found], columns)
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                some = batch.column(0).slice(start, 256).to_pylist()
-                made = exact_grams(some) | {"base": base(some, shipped.value)[0]}
-                parts.append(merged([made | {"n": np.ones(len(made["base"]), np.int64)}]))
-                held += len(parts[-1]["n"])
-                if held > 2_000_000:
+            for start in range(0, batch.num_rows, 64):
+                w = _windows(batch.column(0).slice(start, 64).to_pylist())
+                number, place, n = np.unique(_numbers(w)[f"g{LONGEST}"], return_index=True, return_counts=True)
+                w = [x[place] for x in w]
+                parts.append([number, _pair(w[1], w[2]), _pair(w[3], w[4]), _pair(w[0], w[5]), n.astype(np.int64)])
+                held += len(n)
+                if held > 1_200_000:
                     parts = [merged(parts)]
-                    held = len(parts[0]["n"])
-                    if held > 1_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(parts[0][c], pa.int64()) for c in columns], columns)
+                    held = len(parts[0][0])
+                    if held > 600_000:
+                        yield made()
                         parts, held = [], 0
         if parts:
-            whole = merged(parts)
-            yield pa.RecordBatch.from_arrays([pa.array(whole[c], pa.int64()) for c in columns], columns)
+            parts = [merged(parts)]
+            yield made()
+
+    def middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows in order: whole middles, once enough rows are there."""
+        parts: list[list[np.ndarray]] = []
+        held = 0
+
+        def whole(last: bool) -> pa.RecordBatch | None:
+            nonlocal parts, held
+            a, b, ends, n = (np.concatenate(x) for x in zip(*parts))
+            change = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            if last:
+                upto = len(a)
+            else:
+                places = np.flatnonzero(change)
+                if not len(places):
+                    parts = [[a, b, ends, n]]
+                    return None
+                upto = int(places[-1]) + 1
+            parts = [[a[upto:], b[upto:], ends[upto:], n[upto:]]]
+            held = len(a) - upto
+            a, b, ends, n, change = a[:upto], b[:upto], ends[:upto], n[:upto], change[: upto - 1]
+            new = np.concatenate([[True], change | (ends[1:] != ends[:-1])])
+            n = np.add.reduceat(n, np.flatnonzero(new))
+            top = np.concatenate([[True], change])[new]
+            a, b, ends = a[new], b[new], ends[new]
+            starts = np.flatnonzero(top)
+            offsets = pa.array(np.append(starts, len(a)), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (ends, n)]
+            return pa.RecordBatch.from_arrays([pa.array(a[starts], pa.int64()), pa.array(b[starts], pa.int64()), *lists], columns)
+
+        for batch in batches:
+            parts.append([c.to_numpy() for c in batch.columns])
+            held += batch.num_rows
+            if held > 500_000:
+                made = whole(False)
+                if made is not None:
+                    yield from by_slices(lambda x: x, 10_000)([made])
+        if held:
+            yield from by_slices(lambda x: x, 10_000)([whole(True)])
 
     found = texts.mapInArrow(run, ", ".join(f"{c} bigint" for c in columns))
-    others = [F.first(c).alias(c) for c in columns if c not in ("n", f"g{LONGEST}")]
-    return found.groupBy(f"g{LONGEST}").agg(F.sum("n").alias("n"), *others)
+    dealt = found.repartition("a", "b").sortWithinPartitions("a", "b", "ends")
+    return dealt.mapInArrow(middles, "a bigint, b bigint, ends array<bigint>, n array<bigint>")
+
+
+class Middles:
+    """The n-grams of both orders, and their contexts, of a batch of rows of ``exact_counts``."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        ends, n = batch.column(2), batch.column(3)
+        size = np.diff(ends.offsets.to_numpy())
+        self.a, self.b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        self.n = n.flatten().to_numpy()
+        #: Of every 6-gram: its middle, characters around it, context and 5-gram, by place.
+        self.middle = np.repeat(np.arange(len(size)), size)
+        self.first, self.last = _unpair(np.ascontiguousarray(ends.flatten().to_numpy()))
+        of = self.middle.astype(np.int64) << WIDTH
+        self.long_contexts, self.long_context = np.unique(of | self.first.astype(np.int64), return_inverse=True)
+        self.shorter, self.short = np.unique(of | self.last.astype(np.int64), return_inverse=True)
+        #: Of every 5-gram: in how many 6-grams it is; how often each is needed.
+        self.follows = np.bincount(self.short, minlength=len(self.shorter))
+        self.often = {
+            "g6": self.n, "c6": self._sum(self.long_context, self.n, len(self.long_contexts)),
+            "g5": self._sum(self.short, self.n, len(self.shorter)), "c5": self._sum(self.middle, self.n, len(size)),
+        }
+
+    @staticmethod
+    def _sum(place: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+        return np.rint(np.bincount(place, n, size)).astype(np.int64)
+
+    def entries(self, discounts: dict[int, list[float]], tables: dict[str, np.ndarray]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        """Numbers and entries by kind; all of a text's are added up."""
+        off = {o: np.array([0.0, *d]) for o, d in discounts.items()}
+        whole = lambda x: np.rint(x * UNIT).astype(np.int64)
+        of, last = self.shorter >> WIDTH, (self.shorter & ((1 << WIDTH) - 1)).view(np.uint64)
+        (p1, p2), (p3, p4) = (tuple(x.astype(np.int64) for x in _unpair(side[of])) for side in (self.a, self.b))
+        gram = np.zeros(len(of), np.int64)
+        for p in (p2, p3, p4, last.astype(np.int64)):
+            gram = (gram << BITS) | np.where(p > 0, _fold(np.maximum(p - 1, 0)), 0)
+        symbols = _by_symbols(gram, last.astype(np.int64) - 1, tables) / UNIT
+        lost = off[5][np.minimum(self.follows, 3)]
+        total = np.bincount(of, self.follows, len(self.a))
+        weight = np.bincount(of, lost, len(self.a)) / total
+        p = (self.follows - lost) / total[of] + weight[of] * np.exp(symbols)
+        lost = off[6][np.minimum(self.n, 3)]
+        long_total = np.bincount(self.long_context, self.n)
+        long_weight = np.bincount(self.long_context, lost) / long_total
+        back = long_weight[self.long_context] * p[self.short]
+        chance = (self.n - lost) / long_total[self.long_context] + back
+        zero = np.zeros(1, np.uint64)
+        (a1, a2), (b1, b2) = (_unpair(side) for side in (self.a, self.b))
+        window = lambda of, first, last: [first, *[x[of] for x in (a1, a2, b1, b2)], last]
+        every = np.arange(len(self.a))
+        long_of = self.long_contexts >> WIDTH
+        return {
+            "g6": (_numbers(window(self.middle, self.first, self.last))["g6"], whole(np.log(chance) - np.log(back))),
+            "c6": (_numbers(window(long_of, (self.long_contexts & ((1 << WIDTH) - 1)).view(np.uint64), zero.repeat(len(long_of))))["c6"], whole(np.log(long_weight))),
+            "g5": (_numbers(window(of, zero.repeat(len(of)), last))["g5"], whole(np.log(p) - np.log(weight[of]) - symbols)),
+            "c5": (_numbers(window(every, zero.repeat(len(every)), zero.repeat(len(every))))["c5"], whole(np.log(weight))),
+        }
 
 
 @dataclass
@@ -323,98 +465,134 @@ def exact_model(texts: DataFrame, tables: dict[str, np.ndarray], hot: int | None
     """The interpolated model of the ``EXACT`` orders above the symbols'."""
     hot = HOT if hot is None else hot
     tables = tables | shares(texts)
-    whole = lambda x: F.round(x * UNIT).cast("bigint")
-    counted = {LONGEST: staged(exact_counts(texts, tables).withColumn("often", F.col("n")), f"exact-{LONGEST}")}
-    for order in EXACT[-2::-1]:
-        kept = [c for c in counted[order + 1].columns if c not in ("n", "often", f"g{order}", f"g{order + 1}", f"c{order + 1}")]
-        shorter = counted[order + 1].groupBy(f"g{order}")
-        counted[order] = staged(shorter.agg(F.count(F.lit(1)).alias("n"), F.sum("often").alias("often"), *[F.first(c).alias(c) for c in kept]), f"exact-{order}")
-    made, lower = [], None
-    for order in EXACT:
-        g, c, d = f"g{order}", f"c{order}", _discounts(counted[order])
-        off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        contexts = staged(counted[order].groupBy(c).agg(F.sum("n").alias("total"), F.sum("often").alias("uses"), (F.sum(off) / F.sum("n")).alias("weight")), f"contexts-{order}")
-        joined = counted[order].join(contexts, c)
-        if lower is None:
-            joined = joined.withColumn("shorter", F.exp(F.col("base") / F.lit(UNIT)))
-        else:
-            joined = joined.join(lower, f"g{order - 1}")
-        seen = staged(joined.withColumn("p", (F.col("n") - off) / F.col("total") + F.col("weight") * F.col("shorter")), f"chances-{order}")
-        moved = F.log("p") - F.log("weight") - F.log("shorter")
-        made.append(seen.select(F.col(g).alias("key"), "often", whole(moved).alias("entry")))
-        made.append(contexts.select(F.col(c).alias("key"), F.col("uses").alias("often"), whole(F.log("weight")).alias("entry")))
-        lower = seen.select(g, F.col("p").alias("shorter"))
-    # Contexts of one order and n-grams of another have numbers of their own, as the order is in them.
-    entries = made[0]
-    for more in made[1:]:
-        entries = entries.unionByName(more)
-    entries = staged(entries, "model")
+    counted = staged(exact_counts(texts), "exact")
+
+    def tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many n-grams of an order have a count, and how many entries are needed so often (order 0)."""
+        for batch in batches:
+            m = Middles(batch)
+            for order, values in ((0, np.concatenate([*m.often.values()])), (5, m.follows), (6, m.n)):
+                value, n = np.unique(values if not order else values[values <= 4], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), order), pa.int32()), pa.array(value, pa.int64()), pa.array(n, pa.int64())], ["order", "value", "n"])
+
+    found = counted.mapInArrow(tallies, "order int, value bigint, n bigint").groupBy("order", "value").agg(F.sum("n").alias("n"))
+    found = staged(found, "tallies")
+    few = {(r["order"], r["value"]): r["n"] for r in found.where("order > 0").collect()}
+    discounts = {order: _from_counts([few.get((order, i), 0) for i in range(1, 5)]) for order in EXACT}
     # The least use an entry must have for all such entries to be within ``hot``.
     least, held = None, 0
-    for r in entries.groupBy("often").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("often")).toLocalIterator():
+    for r in found.where("order = 0").orderBy(F.desc("value")).toLocalIterator():
         held += r["n"]
         if held > hot:
             break
-        least = r["often"]
-    needed = F.col("often") >= F.lit(least) if least is not None else F.lit(False)
-    chosen = entries.where(needed).select("key", "entry").toArrow()
-    rest = entries.where(~needed).select("key", "entry") if held > hot else None
-    return Exact(tables, chosen.column(0).to_numpy(), chosen.column(1).to_numpy(), rest)
+        least = r["value"]
+    shipped = texts.sparkSession.sparkContext.broadcast(tables)
+
+    def chosen(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                m = Middles(batch)
+                made = m.entries(discounts, shipped.value)
+                needed = {kind: often >= least if least is not None else np.zeros(len(often), bool) for kind, often in m.often.items()}
+                if wanted:  # an n-gram needed so often stands for its shorter ones too, which are no less needed
+                    more = made["c6"][1][m.long_context] + made["g5"][1][m.short] + made["c5"][1][m.middle]
+                    made["g6"] = (made["g6"][0], made["g6"][1] + more)
+                key, entry = (np.concatenate([made[kind][i][needed[kind] == wanted] for kind in made]) for i in (0, 1))
+                for start in range(0, len(key), 100_000):
+                    some = slice(start, start + 100_000)
+                    yield pa.RecordBatch.from_arrays([pa.array(key[some], pa.int64()), pa.array(entry[some].astype(np.int32), pa.int32())], ["key", "entry"])
+
+        return counted.mapInArrow(run, "key bigint, entry int")
+
+    rows = chosen(True).toArrow()
+    rest = chosen(False) if held > hot else None
+    return Exact(tables, rows.column(0).to_numpy(), rows.column(1).to_numpy(), rest)
 
 
 class Hot:
-    """A look-up of numbers: a table of slots, and those whose slot is taken in order."""
+    """A look-up of numbers: tables of places, each for those whose slot is taken in the one before, and the last in order."""
 
     def __init__(self, keys: np.ndarray, entries: np.ndarray):
-        slots = 1 << max(4, int(4 * len(keys)).bit_length())
-        self.mask, self.keys, self.entries = np.int64(slots - 1), np.zeros(slots, np.int64), np.zeros(slots, np.int64)
-        self.keys[keys & self.mask], self.entries[keys & self.mask] = keys, entries
-        other = np.flatnonzero(self.keys[keys & self.mask] != keys)
-        other = other[np.argsort(keys[other])]
-        self.more, self.more_entries = keys[other], entries[other]
+        self.keys, self.entries = keys, entries
+        self.tables = []
+        left = np.arange(len(keys), dtype=np.int32)
+        for level in range(4):
+            if not len(left):
+                break
+            slots = 1 << max(4, (2 * len(left)).bit_length())
+            slot = self._slot(keys[left], level, slots)
+            place = np.full(slots, left[0], np.int32)  # any key but the one whose slot it is differs there
+            place[slot] = left
+            self.tables.append(place)
+            left = left[place[slot] != left]
+        self.more = left[np.argsort(keys[left])]
+        self.more_keys = keys[self.more]
+
+    @staticmethod
+    def _slot(keys: np.ndarray, level: int, slots: int) -> np.ndarray:
+        return (keys >> (11 * level)) & (slots - 1)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The entries, zero where there is none, and whether there is one."""
-        slot = keys & self.mask
-        hit = (self.keys[slot] == keys) & (keys != 0)
-        found = np.where(hit, self.entries[slot], 0)
+        found, hit = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        left = None
+        for level, table in enumerate(self.tables):
+            some = keys if left is None else keys[left]
+            place = table[self._slot(some, level, len(table))]
+            there = self.keys[place] == some
+            if left is None:
+                hit = there
+                found[there] = self.entries[place[there]]
+                left = np.flatnonzero(~there)
+            else:
+                found[left[there]], hit[left[there]] = self.entries[place[there]], True
+                left = left[~there]
         if len(self.more):
-            left = np.flatnonzero(~hit)
-            place = np.minimum(np.searchsorted(self.more, keys[left]), len(self.more) - 1)
-            there = self.more[place] == keys[left]
-            found[left[there]], hit[left[there]] = self.more_entries[place[there]], True
+            place = np.minimum(np.searchsorted(self.more_keys, keys[left]), len(self.more) - 1)
+            there = self.more_keys[place] == keys[left]
+            found[left[there]], hit[left[there]] = self.entries[self.more[place[there]]], True
         return found, hit
 
 
-def log_perplexity(docs: DataFrame, model: Exact, text_col: str, as_col: str) -> DataFrame:
-    """The documents with ``as_col``, nats a character over the whole text; null without characters."""
-    shipped = docs.sparkSession.sparkContext.broadcast((model.tables, model.keys, model.entries))
-    state: dict = {}
+class Scorer:
+    """Texts' sums by what every task has of the model."""
+
+    def __init__(self, model: Exact, spark: SparkSession):
+        self.shipped = spark.sparkContext.broadcast((model.tables, model.keys, model.entries))
 
-    def sums(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def sums(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Every text's sum without the rest, and the places and n-grams that the rest may have."""
-        if "hot" not in state:
-            state["hot"] = Hot(*shipped.value[1:])
-        value, ends = base(texts, shipped.value[0])
+        tables, keys, entries = self.shipped.value
+        value, ends = base(texts, tables)
+        if _DENSE.get("hot for") is not keys:
+            _DENSE.update({"hot for": keys, "hot": Hot(keys, entries)})
+        hot = _DENSE["hot"]
         place = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(ends))
-        left = []
-        for keys in exact_grams(texts).values():
-            found, hit = state["hot"].find(keys)
-            value += found
-            left.append((place[~hit], keys[~hit]))
+        window = _windows(texts)
+        numbers = _numbers(window)
+        found, hit = hot.find(numbers[f"g{LONGEST}"])
+        value += found
+        other = np.flatnonzero(~hit)
+        left = [(place[other], numbers[f"g{LONGEST}"][other])]
+        for kind in ("c6", "g5", "c5"):
+            key = numbers[kind][other]
+            found, hit = hot.find(key)
+            value[other] += found
+            left.append((place[other[~hit]], key[~hit]))
         total = np.concatenate([[0], np.cumsum(value)])
         return total[ends[1:]] - total[ends[:-1]], *(np.concatenate(x) for x in zip(*left))
 
-    def alone(texts: list) -> list[float | None]:
-        return [-int(s) / UNIT / len(t) if t else None for t, s in zip(texts, sums(texts)[0])]
 
+def sums_by_text(docs: DataFrame, model: Exact, text_col: str) -> DataFrame | None:
+    """Every text's hash and sum over the whole model; none if every task has the whole model."""
     if model.rest is None:
-        return with_values(docs, text_col, as_col, "double", pa.float64(), alone, rows=64)
+        return None
+    scorer = Scorer(model, docs.sparkSession)
 
     def exploded(batch: pa.RecordBatch) -> pa.RecordBatch:
         """A row per text with its sum, and a row per text and other n-gram with its count."""
         number = batch.column(0).to_numpy()
-        made, place, key = sums(batch.column(1).to_pylist())
+        made, place, key = scorer.sums(batch.column(1).to_pylist())
         order = np.lexsort((key, place))
         place, key = place[order], key[order]
         new = np.ones(len(key), bool)
@@ -434,11 +612,24 @@ def log_perplexity(docs: DataFrame, model: Exact, text_col: str, as_col: str) ->
     # Copies of a text each bring the same rows.
     wide = lambda x: F.sum(x.cast("decimal(28,0)"))
     total = (wide(F.col("sum")) + F.coalesce(wide(F.when(F.col("sum").isNull(), F.col("n") * F.col("entry"))), F.lit(0))) / F.count("sum")
-    by_text = hits.groupBy("of").agg(total.cast("double").alias("total_"))
+    return staged(hits.groupBy("of").agg(total.cast("double").alias("total")), "sums")
+
+
+def log_perplexity(docs: DataFrame, model: Exact, text_col: str, as_col: str, sums: DataFrame | None = None) -> DataFrame:
+    """The documents with ``as_col``, nats a character over the whole text; null without characters.
+
+    ``sums`` are those of ``sums_by_text`` for these documents and perhaps others.
+    """
+    if model.rest is None:
+        scorer = Scorer(model, docs.sparkSession)
+        alone = lambda texts: [-int(s) / UNIT / len(t) if t else None for t, s in zip(texts, scorer.sums(texts)[0])]
+        return with_values(docs, text_col, as_col, "double", pa.float64(), alone, rows=64)
+    if sums is None:
+        sums = sums_by_text(docs, model, text_col)
     key, total = free_name(docs, "of_"), free_name(docs, "total_")
-    by_text = by_text.select(F.col("of").alias(key), F.col("total_").alias(total))
+    sums = sums.select(F.col("of").alias(key), F.col("total").alias(total))
     chars = F.nullif(F.char_length(col(text_col)), F.lit(0))
-    return docs.withColumn(key, of).join(by_text, key, "left").withColumn(as_col, -col(total) / UNIT / chars).drop(key, total)
+    return docs.withColumn(key, F.xxhash64(col(text_col))).join(sums, key, "left").withColumn(as_col, -col(total) / UNIT / chars).drop(key, total)
 
 
 def level(nats: Column, chars: Column, mean: float) -> Column:
@@ -494,13 +685,14 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         unknown = [F.lit(None).cast("double").alias(name) for name in ("nats", "perplexity", "level", "threshold")]
         return docs.withColumn(as_col, F.struct(*unknown, F.lit(True).alias("keep")))
     exact = exact_model(good.where(~fold).select("text"), tables)
-    held = log_perplexity(good.where(fold).select("lang", "text"), exact, "text", "nats").select("lang", "nats", F.char_length("text").alias("chars"))
+    sums = sums_by_text(docs, exact, text_col)
+    held = log_perplexity(good.where(fold).select("lang", "text"), exact, "text", "nats", sums).select("lang", "nats", F.char_length("text").alias("chars"))
     mean, limits = thresholds(staged(held, "held-out"), quantile, slack)
     named = [F.lit(x) for lang, most in limits.items() if lang is not None for x in (lang, most)]
     everything = F.lit(limits.get(None)).cast("double")
     limit = F.coalesce(F.create_map(*named)[col(lang_col)], everything) if named else everything
     nats = free_name(docs, "nats")
-    scored = log_perplexity(docs, exact, text_col, nats)
+    scored = log_perplexity(docs, exact, text_col, nats, sums)
     value = col(nats)
     found = level(value, F.char_length(col(text_col)), mean)
     made = F.struct(value.alias("nats"), F.exp(value).alias("perplexity"), found.alias("level"), limit.alias("threshold"), F.coalesce(found <= limit, F.lit(True)).alias("keep"))

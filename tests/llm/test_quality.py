@@ -136,3 +136,56 @@ def test_every_language_has_its_own_threshold(spark):
     assert 2.05 < limits["de"] < 2.2 and limits["en"] < 1.15
     near = [quality.thresholds(spark.createDataFrame([*rows, *[("de", 2 + i / 1000, 2000) for i in range(n)]], "lang string, nats double, chars int"), 0.995, 0.0)[1]["de"] for n in (199, 200)]
     assert abs(near[0] - near[1]) < 0.01
+
+
+def test_a_worker_holds_one_table_of_symbols(spark):
+    import tracemalloc
+
+    frame = spark.createDataFrame([("the cat sat on the mat",), ("жил был кот",)], "text string")
+    tables = quality.model(frame) | quality.shares(frame)
+    log = quality.dense(tables)
+    quality._DENSE.clear()
+    tracemalloc.start()
+    value, ends = quality.base(["the cat", "кот!"], tables)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    quality._DENSE.clear()
+    assert peak < 160e6 and ends.tolist() == [0, 7, 11]
+    share = dict(zip(tables["point"], tables["share"]))
+    made = [log[g] + share.get(ord(c), 0.0) for g, c in zip(quality.grams(["the cat", "кот!"])[0], "the catкот!")]
+    assert np.allclose(value / quality.UNIT, made, atol=1e-5)
+
+
+def test_look_up_is_small_and_exact():
+    draw = np.random.default_rng(2)
+    keys = np.unique(np.concatenate([draw.integers(-(1 << 63), 1 << 63, 200_000), draw.integers(0, 5000, 5000) << 50, [0, -1]]))
+    draw.shuffle(keys)
+    entries = draw.integers(-9_000_000, 9_000_000, len(keys)).astype(np.int32)
+    hot = quality.Hot(keys, entries)
+    found, hit = hot.find(keys)
+    assert hit.all() and (found == entries).all()
+    other = np.setdiff1d(draw.integers(-(1 << 63), 1 << 63, 50_000), keys)
+    found, hit = hot.find(other)
+    assert not hit.any() and not found.any()
+    assert sum(x.nbytes for v in vars(hot).values() for x in (v if isinstance(v, list) else [v]) if isinstance(x, np.ndarray)) < 40 * len(keys)
+    assert not quality.Hot(keys[:0], entries[:0]).find(keys)[1].any()
+
+
+def test_n_grams_meet_once_as_characters(spark):
+    texts = ["the cat sat on the mat", "the cat", "", None, "🙂🙂🙂🙂🙂🙂🙂 жил"] * 3
+    counted = quality.exact_counts(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 1
+    found = {}
+    for r in counted.collect():
+        assert len(r.ends) == len(r.n) == len(set(r.ends))
+        for e, n in zip(r.ends, r.n):
+            points = [e >> 21, r.a >> 21, r.a % 2**21, r.b >> 21, r.b % 2**21, e % 2**21]
+            key = "".join(chr(p - 1) if p else "\0" for p in points)
+            assert key not in found
+            found[key] = n
+    wanted = {}
+    for t in texts:
+        padded = "\0" * 5 + (t or "")
+        for i in range(len(t or "")):
+            wanted[padded[i : i + 6]] = wanted.get(padded[i : i + 6], 0) + 1
+    assert found == wanted
