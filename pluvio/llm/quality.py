@@ -16,8 +16,9 @@ log probability from that of the next shorter one, a context's is its back-off
 weight. A text's log probability is thus that of its symbols plus the entries of
 its n-grams and contexts, so that one join and one sum score it. The ``HOT``
 entries that trusted text needs most often go to every task, which keeps them out
-of the join; a document's other n-grams are counted in the document and joined to
-the sharded rest. Values are sums of integers (``UNIT``), so results depend neither
+of the join; a document's other n-grams, but for most of those that bits of the rest
+show to be in no trusted text, are counted in the document and joined to the
+sharded rest. Values are sums of integers (``UNIT``), so results depend neither
 on this split nor on partitions. Documents meet their sums by a 64-bit hash of the
 text.
 
@@ -66,6 +67,8 @@ LONGEST = EXACT[-1]
 WIDTH = 21
 #: So many entries at most (24 MB) are sent to every task; a split of the work, not of the model.
 HOT = 2_000_000
+#: Two to this power are the bits (8 MB) that tell a task which n-grams the rest cannot have.
+FILTER = 26
 #: Model entries are whole multiples of one part in so many.
 UNIT = 1_000_000
 #: So many trusted ids at most (some 16 MB) are sent to every task; more are joined by shuffling.
@@ -453,12 +456,13 @@ class Middles:
 
 @dataclass
 class Exact:
-    """The finished model: symbols' tables, the most needed entries, and the sharded rest if there is any."""
+    """The finished model: symbols' tables, the most needed entries, and the sharded rest if there is any, with its bits."""
 
     tables: dict[str, np.ndarray]
     keys: np.ndarray
     entries: np.ndarray
     rest: DataFrame | None
+    bits: np.ndarray | None = None
 
 
 def exact_model(texts: DataFrame, tables: dict[str, np.ndarray], hot: int | None = None) -> Exact:
@@ -505,8 +509,35 @@ def exact_model(texts: DataFrame, tables: dict[str, np.ndarray], hot: int | None
         return counted.mapInArrow(run, "key bigint, entry int")
 
     rows = chosen(True).toArrow()
-    rest = chosen(False) if held > hot else None
-    return Exact(tables, rows.column(0).to_numpy(), rows.column(1).to_numpy(), rest)
+    made = Exact(tables, rows.column(0).to_numpy(), rows.column(1).to_numpy(), None)
+    if held > hot:
+        made.rest = chosen(False)
+        made.bits = bits_of(made.rest.select("key"))
+    return made
+
+
+def _bit(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word and the bit in it that stand for a number."""
+    place = keys.view(np.uint64) >> np.uint64(64 - FILTER)
+    return (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63))
+
+
+def bits_of(keys: DataFrame) -> np.ndarray:
+    """Bits of all numbers of a one-column frame: a number whose bit is not set is not in the frame."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(1 << FILTER - 6, np.uint64)
+        for batch in batches:
+            np.bitwise_or.at(words, *_bit(batch.column(0).to_numpy()))
+        some = np.flatnonzero(words)
+        for start in range(0, len(some), 100_000):
+            part = some[start : start + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(words[part].view(np.int64), pa.int64())], ["word", "bits"])
+
+    rows = keys.mapInArrow(run, "word int, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(1 << FILTER - 6, np.uint64)
+    words[rows.column(0).to_numpy()] = rows.column(1).to_numpy().view(np.uint64)
+    return words
 
 
 class Hot:
@@ -558,11 +589,11 @@ class Scorer:
     """Texts' sums by what every task has of the model."""
 
     def __init__(self, model: Exact, spark: SparkSession):
-        self.shipped = spark.sparkContext.broadcast((model.tables, model.keys, model.entries))
+        self.shipped = spark.sparkContext.broadcast((model.tables, model.keys, model.entries, model.bits))
 
     def sums(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Every text's sum without the rest, and the places and n-grams that the rest may have."""
-        tables, keys, entries = self.shipped.value
+        tables, keys, entries, bits = self.shipped.value
         value, ends = base(texts, tables)
         if _DENSE.get("hot for") is not keys:
             _DENSE.update({"hot for": keys, "hot": Hot(keys, entries)})
@@ -580,7 +611,12 @@ class Scorer:
             value[other] += found
             left.append((place[other[~hit]], key[~hit]))
         total = np.concatenate([[0], np.cumsum(value)])
-        return total[ends[1:]] - total[ends[:-1]], *(np.concatenate(x) for x in zip(*left))
+        places, keys = (np.concatenate(x) for x in zip(*left))
+        if bits is not None:
+            word, bit = _bit(keys)
+            maybe = (bits[word] & bit) != 0
+            places, keys = places[maybe], keys[maybe]
+        return total[ends[1:]] - total[ends[:-1]], places, keys
 
 
 def sums_by_text(docs: DataFrame, model: Exact, text_col: str) -> DataFrame | None:

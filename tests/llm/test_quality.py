@@ -189,3 +189,14 @@ def test_n_grams_meet_once_as_characters(spark):
         for i in range(len(t or "")):
             wanted[padded[i : i + 6]] = wanted.get(padded[i : i + 6], 0) + 1
     assert found == wanted
+
+
+def test_n_grams_of_no_trusted_text_are_not_sent(spark):
+    trusted = ["the cat sat on the mat. the cat ran.", "жил был кот и был он рыж"]
+    split = exact(spark, trusted, hot=10)
+    keys = np.array([r.key for r in split.rest.collect()])
+    scorer = quality.Scorer(split, spark)
+    left = scorer.sums(["QQQQQQQQ ZZZZZZZ XXXXXX"])[2]
+    # Trusted texts have nothing of it but the two contexts before a text.
+    assert len(left) <= 2 and np.isin(left, keys).all()
+    assert len(np.unique(scorer.sums(trusted)[2])) == len(keys)
