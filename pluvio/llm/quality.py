@@ -65,8 +65,8 @@ EXACT = (5, 6)
 LONGEST = EXACT[-1]
 #: Bits of a character beside another in one number.
 WIDTH = 21
-#: So many entries at most (24 MB) are sent to every task; a split of the work, not of the model.
-HOT = 2_000_000
+#: So many entries at most (48 MB) are sent to every task; a split of the work, not of the model.
+HOT = 4_000_000
 #: Two to this power are the bits (8 MB) that tell a task which n-grams the rest cannot have.
 FILTER = 26
 #: Model entries are whole multiples of one part in so many.
