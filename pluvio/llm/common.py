@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +31,8 @@ def working(operator: str) -> None:
     """Called by tasks: whatever other operators keep in this worker is let go.
 
     Workers are used again by the stages of a pipeline; without this each would
-    carry the memory of all stages before.
+    carry the memory of all stages before. What is free then goes back to the machine:
+    allocators keep it, in workers that wait for a task too.
     """
     global _working
     if operator != _working:
@@ -36,6 +40,10 @@ def working(operator: str) -> None:
             if name != operator:
                 drop()
         _working = operator
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # other C libraries than glibc have none
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -65,7 +65,7 @@ EXACT = (5, 6)
 LONGEST = EXACT[-1]
 #: Bits of a character beside another in one number.
 WIDTH = 21
-#: So many entries at most (48 MB) are sent to every task; a split of the work, not of the model.
+#: So many entries at most (56 MB with their look-up) are sent to every task; a split of the work, not of the model.
 HOT = 4_000_000
 #: Two to this power are the bits (8 MB) that tell a task which n-grams the rest cannot have.
 FILTER = 26
@@ -135,7 +135,7 @@ def counts(texts: DataFrame) -> DataFrame:
     """(gram, n) over all rows of a one-column frame of texts, counted in the tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, numbers, held = [], [], 0
+        keys, numbers, held, most = [], [], 0, 1_000_000
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
             unique, place = np.unique(np.concatenate(keys), return_inverse=True)
@@ -147,9 +147,10 @@ def counts(texts: DataFrame) -> DataFrame:
                 keys.append(found)
                 numbers.append(n)
                 held += len(found)
-                if held > 4_000_000:
+                if held > most:
                     merged_keys, merged_numbers = merged()
                     keys, numbers, held = [merged_keys], [merged_numbers], len(merged_keys)
+                    most = max(most, 2 * held)
         if keys:
             unique, n = merged()
             yield pa.RecordBatch.from_arrays([pa.array(unique, pa.int32()), pa.array(n, pa.int64())], ["gram", "n"])
@@ -210,21 +211,66 @@ def model(texts: DataFrame) -> dict[str, np.ndarray] | None:
     return made
 
 
-def dense(tables: dict[str, np.ndarray]) -> np.ndarray:
-    """The log probability of every possible 4-gram, seen or backed off."""
+def _chances(tables: dict[str, np.ndarray], upto: int) -> np.ndarray:
+    """The probability of every possible n-gram of so many symbols, seen or backed off."""
     p = np.full(SYMBOLS, 1.0 / SYMBOLS, np.float32)
-    for order in range(1, ORDER + 1):
-        weight = np.ones(1 << BITS * (order - 1), np.float32)
-        weight[tables[f"context{order}.key"]] = tables[f"context{order}.value"]
+    for order in range(1, upto + 1):
+        weight = _weights(tables, order)
         if order > 1:  # first symbol and middle of the context, middle and symbol of the shorter one
             p = (weight.reshape(SYMBOLS, -1, 1) * p.reshape(1, -1, SYMBOLS)).reshape(-1)
         else:
             p = weight[0] * p
         p[tables[f"seen{order}.key"]] = tables[f"seen{order}.value"]
+    return p
+
+
+def _weights(tables: dict[str, np.ndarray], order: int) -> np.ndarray:
+    weight = np.ones(1 << BITS * (order - 1), np.float32)
+    weight[tables[f"context{order}.key"]] = tables[f"context{order}.value"]
+    return weight
+
+
+def dense(tables: dict[str, np.ndarray]) -> np.ndarray:
+    """The log probability of every possible 4-gram, seen or backed off."""
+    p = _chances(tables, ORDER)
     return np.log(p, out=p)
 
 
-#: The worker's dense table and the model it was made from.
+class Symbols:
+    """What ``dense`` has, in parts of ``UNIT`` and in less memory: 4-grams that are seen, and what others back off to.
+
+    A context has a bit for every symbol that is seen behind it; the bits before a
+    4-gram's own say where its value stands.
+    """
+
+    def __init__(self, tables: dict[str, np.ndarray]):
+        key = tables[f"seen{ORDER}.key"].astype(np.int64)
+        order = np.argsort(key)
+        key = key[order]
+        self.values = self._parts(tables[f"seen{ORDER}.value"][order])
+        self.seen = np.zeros(SYMBOLS ** (ORDER - 1), np.uint64)
+        np.bitwise_or.at(self.seen, key >> BITS, np.uint64(1) << (key & (SYMBOLS - 1)).astype(np.uint64))
+        each = np.bitwise_count(self.seen)
+        self.before = np.cumsum(each, dtype=np.int32) - each
+        self.weights, self.shorter = _weights(tables, ORDER), _chances(tables, ORDER - 1)
+
+    @staticmethod
+    def _parts(p: np.ndarray) -> np.ndarray:
+        return np.rint(np.log(p).astype(np.float64) * UNIT).astype(np.int32)
+
+    def find(self, gram: np.ndarray) -> np.ndarray:
+        context, symbol = gram >> BITS, (gram & (SYMBOLS - 1)).astype(np.uint64)
+        bits = self.seen[context]
+        there = ((bits >> symbol) & np.uint64(1)).astype(bool)
+        place = self.before[context] + np.bitwise_count(bits & ((np.uint64(1) << symbol) - np.uint64(1)))
+        made = np.empty(len(gram), np.int64)
+        made[there] = self.values[place[there]]
+        other = ~there
+        made[other] = self._parts(self.weights[context[other]] * self.shorter[gram[other] & ((1 << BITS * (ORDER - 1)) - 1)])
+        return made
+
+
+#: What a worker has made of the model, and the model it was made from.
 _DENSE: dict = {}
 kept_by("quality", _DENSE.clear)
 
@@ -255,13 +301,8 @@ def _by_symbols(gram: np.ndarray, points: np.ndarray, tables: dict[str, np.ndarr
         _DENSE.clear()
         share = np.zeros(0x110000, np.int32)
         share[tables["point"]] = np.rint(tables["share"] * UNIT)
-        log = dense(tables)
-        whole = log.view(np.int32)  # a worker has one table of this size at a time, so parts take their place in it
-        for start in range(0, len(log), SYMBOLS**3):
-            some = slice(start, start + SYMBOLS**3)
-            whole[some] = np.rint(log[some].astype(np.float64) * UNIT)
-        _DENSE.update({"for": tables, "log": whole, "share": share})
-    return _DENSE["log"][gram].astype(np.int64) + _DENSE["share"][points]
+        _DENSE.update({"for": tables, "symbols": Symbols(tables), "share": share})
+    return _DENSE["symbols"].find(gram) + _DENSE["share"][points]
 
 
 def base(texts: list[str | None], tables: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -324,15 +365,20 @@ def exact_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         working("quality counts")  # lets a former model go, which counting does not need
-        parts, held = [], 0
+        parts, held = [[] for _ in range(5)], 0
 
-        def merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-            number, *others, n = (np.concatenate(x) for x in zip(*parts))
+        def merge() -> None:
+            """A column after the other, so that little is there twice."""
+            number = np.concatenate(parts[0])
+            parts[0].clear()
             number, place, back = np.unique(number, return_index=True, return_inverse=True)
-            return [number, *[x[place] for x in others], np.bincount(back, n).astype(np.int64)]
+            parts[0].append(number)
+            for x in parts[1:4]:
+                x[:] = [np.concatenate(x)[place]]
+            parts[4][:] = [np.bincount(back, np.concatenate(parts[4])).astype(np.int64)]
 
         def made() -> pa.RecordBatch:
-            _, *found = parts[0]
+            found = [x[0] for x in parts[1:]]
             order = np.lexsort(found[2::-1])
             return pa.RecordBatch.from_arrays([pa.array(x[order], pa.int64()) for x in found], columns)
 
@@ -341,16 +387,17 @@ def exact_counts(texts: DataFrame) -> DataFrame:
                 w = _windows(batch.column(0).slice(start, 64).to_pylist())
                 number, place, n = np.unique(_numbers(w)[f"g{LONGEST}"], return_index=True, return_counts=True)
                 w = [x[place] for x in w]
-                parts.append([number, _pair(w[1], w[2]), _pair(w[3], w[4]), _pair(w[0], w[5]), n.astype(np.int64)])
+                for x, more in zip(parts, [number, _pair(w[1], w[2]), _pair(w[3], w[4]), _pair(w[0], w[5]), n.astype(np.int64)]):
+                    x.append(more)
                 held += len(n)
                 if held > 1_200_000:
-                    parts = [merged(parts)]
+                    merge()
                     held = len(parts[0][0])
                     if held > 600_000:
                         yield made()
-                        parts, held = [], 0
-        if parts:
-            parts = [merged(parts)]
+                        parts, held = [[] for _ in range(5)], 0
+        if held:
+            merge()
             yield made()
 
     def middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,6 +444,13 @@ def exact_counts(texts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(middles, "a bigint, b bigint, ends array<bigint>, n array<bigint>")
 
 
+def _middles(batches: Iterator[pa.RecordBatch]) -> Iterator[Middles]:
+    """Of rows of ``exact_counts``, a thousand at a time: a worker holds some forty numbers for each of their n-grams."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1000):
+            yield Middles(batch.slice(start, 1000))
+
+
 class Middles:
     """The n-grams of both orders, and their contexts, of a batch of rows of ``exact_counts``."""
 
@@ -456,13 +510,20 @@ class Middles:
 
 @dataclass
 class Exact:
-    """The finished model: symbols' tables, the most needed entries, and the sharded rest if there is any, with its bits."""
+    """The finished model: symbols' tables, the most needed entries in order, and the sharded rest if there is any, with its bits."""
 
     tables: dict[str, np.ndarray]
     keys: np.ndarray
     entries: np.ndarray
     rest: DataFrame | None
     bits: np.ndarray | None = None
+    scorer: Scorer | None = None
+
+    def sent(self, spark: SparkSession) -> Scorer:
+        """What tasks score with; sent once, however many frames are scored."""
+        if self.scorer is None:
+            self.scorer = Scorer(self, spark)
+        return self.scorer
 
 
 def exact_model(texts: DataFrame, tables: dict[str, np.ndarray], hot: int | None = None) -> Exact:
@@ -473,8 +534,7 @@ def exact_model(texts: DataFrame, tables: dict[str, np.ndarray], hot: int | None
 
     def tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """How many n-grams of an order have a count, and how many entries are needed so often (order 0)."""
-        for batch in batches:
-            m = Middles(batch)
+        for m in _middles(batches):
             for order, values in ((0, np.concatenate([*m.often.values()])), (5, m.follows), (6, m.n)):
                 value, n = np.unique(values if not order else values[values <= 4], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), order), pa.int32()), pa.array(value, pa.int64()), pa.array(n, pa.int64())], ["order", "value", "n"])
@@ -494,8 +554,7 @@ def exact_model(texts: DataFrame, tables: dict[str, np.ndarray], hot: int | None
 
     def chosen(wanted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                m = Middles(batch)
+            for m in _middles(batches):
                 made = m.entries(discounts, shipped.value)
                 needed = {kind: often >= least if least is not None else np.zeros(len(often), bool) for kind, often in m.often.items()}
                 if wanted:  # an n-gram needed so often stands for its shorter ones too, which are no less needed
@@ -509,7 +568,11 @@ def exact_model(texts: DataFrame, tables: dict[str, np.ndarray], hot: int | None
         return counted.mapInArrow(run, "key bigint, entry int")
 
     rows = chosen(True).toArrow()
-    made = Exact(tables, rows.column(0).to_numpy(), rows.column(1).to_numpy(), None)
+    keys, entries = (rows.column(i).to_numpy() for i in (0, 1))
+    del rows
+    order = np.argsort(keys)
+    keys, entries = keys[order], entries[order]
+    made = Exact(tables, keys, entries, None)
     if held > hot:
         made.rest = chosen(False)
         made.bits = bits_of(made.rest.select("key"))
@@ -541,47 +604,41 @@ def bits_of(keys: DataFrame) -> np.ndarray:
 
 
 class Hot:
-    """A look-up of numbers: tables of places, each for those whose slot is taken in the one before, and the last in order."""
-
-    def __init__(self, keys: np.ndarray, entries: np.ndarray):
-        self.keys, self.entries = keys, entries
-        self.tables = []
-        left = np.arange(len(keys), dtype=np.int32)
-        for level in range(4):
-            if not len(left):
-                break
-            slots = 1 << max(4, (2 * len(left)).bit_length())
-            slot = self._slot(keys[left], level, slots)
-            place = np.full(slots, left[0], np.int32)  # any key but the one whose slot it is differs there
-            place[slot] = left
-            self.tables.append(place)
-            left = left[place[slot] != left]
-        self.more = left[np.argsort(keys[left])]
-        self.more_keys = keys[self.more]
+    """A look-up of numbers: they and their entries in order, and where those of equal leading bits begin."""
+
+    def __init__(self, keys: np.ndarray, entries: np.ndarray, first: np.ndarray | None = None):
+        if first is None:
+            if (keys[1:] < keys[:-1]).any():
+                order = np.argsort(keys)
+                keys, entries = keys[order], entries[order]
+            bits = max(4, (len(keys) // 2).bit_length())
+            first = np.zeros((1 << bits) + 1, np.int32)
+            np.cumsum(np.bincount(self._lead(keys, bits), minlength=1 << bits), out=first[1:])
+        self.keys, self.entries, self.first = keys, entries, first
 
     @staticmethod
-    def _slot(keys: np.ndarray, level: int, slots: int) -> np.ndarray:
-        return (keys >> (11 * level)) & (slots - 1)
+    def _lead(keys: np.ndarray, bits: int) -> np.ndarray:
+        return (keys >> (64 - bits)) + (1 << bits - 1)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The entries, zero where there is none, and whether there is one."""
         found, hit = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        left = None
-        for level, table in enumerate(self.tables):
-            some = keys if left is None else keys[left]
-            place = table[self._slot(some, level, len(table))]
-            there = self.keys[place] == some
-            if left is None:
-                hit = there
-                found[there] = self.entries[place[there]]
-                left = np.flatnonzero(~there)
-            else:
-                found[left[there]], hit[left[there]] = self.entries[place[there]], True
-                left = left[~there]
-        if len(self.more):
-            place = np.minimum(np.searchsorted(self.more_keys, keys[left]), len(self.more) - 1)
-            there = self.more_keys[place] == keys[left]
-            found[left[there]], hit[left[there]] = self.entries[self.more[place[there]]], True
+        lead = self._lead(keys, (len(self.first) - 1).bit_length() - 1)
+        at, end = self.first[lead], self.first[lead + 1]
+        left = np.flatnonzero(at < end)
+        at, end, some = at[left], end[left], keys[left]
+        for _ in range(8):
+            here = self.keys[at]
+            there = here == some
+            found[left[there]], hit[left[there]] = self.entries[at[there]], True
+            at += 1
+            go = np.flatnonzero((here < some) & (at < end))
+            left, at, end, some = left[go], at[go], end[go], some[go]
+            if not len(left):
+                return found, hit
+        at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        there = self.keys[at] == some
+        found[left[there]], hit[left[there]] = self.entries[at[there]], True
         return found, hit
 
 
@@ -589,15 +646,14 @@ class Scorer:
     """Texts' sums by what every task has of the model."""
 
     def __init__(self, model: Exact, spark: SparkSession):
-        self.shipped = spark.sparkContext.broadcast((model.tables, model.keys, model.entries, model.bits))
+        hot = Hot(model.keys, model.entries)  # made once; a worker has no copy beside what it is sent
+        self.shipped = spark.sparkContext.broadcast((model.tables, hot.keys, hot.entries, hot.first, model.bits))
 
     def sums(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Every text's sum without the rest, and the places and n-grams that the rest may have."""
-        tables, keys, entries, bits = self.shipped.value
+        tables, keys, entries, first, bits = self.shipped.value
         value, ends = base(texts, tables)
-        if _DENSE.get("hot for") is not keys:
-            _DENSE.update({"hot for": keys, "hot": Hot(keys, entries)})
-        hot = _DENSE["hot"]
+        hot = Hot(keys, entries, first)
         place = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(ends))
         window = _windows(texts)
         numbers = _numbers(window)
@@ -623,7 +679,7 @@ def sums_by_text(docs: DataFrame, model: Exact, text_col: str) -> DataFrame | No
     """Every text's hash and sum over the whole model; none if every task has the whole model."""
     if model.rest is None:
         return None
-    scorer = Scorer(model, docs.sparkSession)
+    scorer = model.sent(docs.sparkSession)
 
     def exploded(batch: pa.RecordBatch) -> pa.RecordBatch:
         """A row per text with its sum, and a row per text and other n-gram with its count."""
@@ -657,7 +713,7 @@ def log_perplexity(docs: DataFrame, model: Exact, text_col: str, as_col: str, su
     ``sums`` are those of ``sums_by_text`` for these documents and perhaps others.
     """
     if model.rest is None:
-        scorer = Scorer(model, docs.sparkSession)
+        scorer = model.sent(docs.sparkSession)
         alone = lambda texts: [-int(s) / UNIT / len(t) if t else None for t, s in zip(texts, scorer.sums(texts)[0])]
         return with_values(docs, text_col, as_col, "double", pa.float64(), alone, rows=64)
     if sums is None:

@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
+import numpy as np
+
 from pluvio.llm import bpe, chosen_path, common, quality
 
 
@@ -21,3 +26,13 @@ def test_shingles_are_the_same_after_memory_was_let_go():
     once = chosen_path.shingles(text)
     common.working("other")
     assert (chosen_path.shingles(text) == once).all()
+
+
+def test_free_memory_goes_back_between_operators():
+    resident = lambda: int(Path("/proc/self/statm").read_text().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+    common.working("one")
+    held = [np.ones(500) for _ in range(40_000)]  # 160 MB in pieces that the C library keeps while the last is there
+    before = resident()
+    held[:-1] = []
+    common.working("two")
+    assert before - resident() > 100e6 and len(held) == 1

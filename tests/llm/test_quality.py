@@ -200,3 +200,52 @@ def test_n_grams_of_no_trusted_text_are_not_sent(spark):
     # Trusted texts have nothing of it but the two contexts before a text.
     assert len(left) <= 2 and np.isin(left, keys).all()
     assert len(np.unique(scorer.sums(trusted)[2])) == len(keys)
+
+
+def test_a_worker_holds_little_of_the_model(spark):
+    """Every worker of an executor, idle ones too, had 64 MB of symbols' 4-grams and a look-up of 22 bytes an entry beside the model it was sent."""
+    import tracemalloc
+
+    draw = np.random.default_rng(3)
+    frame = spark.createDataFrame([("the cat sat on the mat",), ("жил был кот",)], "text string")
+    tables = quality.model(frame) | quality.shares(frame)
+    keys = np.unique(draw.integers(-(1 << 63), 1 << 63, 1_000_000))
+    asked = "the cat sat at a кот 🙂"
+    numbers = quality.exact_grams([asked])["g6"]
+    keys = np.unique(np.concatenate([keys, numbers[:3]]))
+    entries = np.where(np.isin(keys, numbers[:3]), 1_000_000_000, 0).astype(np.int32)
+    scorer = quality.Scorer(quality.Exact(tables, keys, entries, None), spark)
+    scorer.shipped.value  # what is sent, 14 bytes an entry
+    quality._DENSE.clear()
+    tracemalloc.start()
+    total, places, left = scorer.sums([asked])
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 16e6 and peak < 32e6
+    alone = quality.base([asked], tables)[0].sum()
+    assert total[0] == alone + 3_000_000_000 and len(left) == 4 * (len(asked) - 3)
+    quality._DENSE.clear()
+
+
+def test_symbols_in_less_memory_are_the_dense_table(spark):
+    draw = np.random.default_rng(4)
+    words = ["".join(draw.choice(list("etaoinshrdlu ETA.,!0é"), 9)) for _ in range(300)]
+    tables = quality.model(spark.createDataFrame([(w,) for w in words], "text string"))
+    log = quality.dense(tables)
+    gram = np.concatenate([draw.integers(0, 1 << 24, 20_000), tables["seen4.key"], np.array([0, (1 << 24) - 1])]).astype(np.int32)
+    assert np.abs(quality.Symbols(tables).find(gram) - np.rint(log[gram].astype(float) * quality.UNIT)).max() <= 1
+
+
+def test_look_up_of_crowded_numbers():
+    keys = np.concatenate([np.arange(100) * 3, [-5, 1 << 62]])
+    hot = quality.Hot(keys, np.arange(len(keys), dtype=np.int32))
+    asked = np.concatenate([keys, keys + 1])
+    found, hit = hot.find(asked)
+    assert hit.tolist() == [True] * len(keys) + [False] * len(keys) and (found[: len(keys)] == np.arange(len(keys))).all()
+
+
+def test_the_model_is_sent_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(quality, "Scorer", lambda *x, old=quality.Scorer: made.append(old(*x)) or made[-1])
+    whole = exact(spark, ["the cat sat on the mat. the cat ran."])
+    assert nats(spark, whole, ["the cat", "a dog"])[0] == nats(spark, whole, ["the cat"])[0] and len(made) == 1
